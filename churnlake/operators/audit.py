@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from churnlake.operators.joins import attach_row
+
 
 def overlapping_keys(train: DataFrame, test: DataFrame, key: str) -> DataFrame:
     """Distinct keys present in both frames."""
@@ -27,7 +29,7 @@ def key_coverage(train: DataFrame, test: DataFrame, key: str) -> DataFrame:
     covered = test.join(train.select(key).distinct(), on=key, how="left_semi")
     total = test.agg(F.count(F.lit(1)).alias("n_test"))
     hit = covered.agg(F.count(F.lit(1)).alias("n_covered"))
-    return total.join(hit, how="inner").select(
+    return attach_row(total, hit).select(
         "n_test", "n_covered", (F.lit(100.0) * F.col("n_covered") / F.col("n_test")).alias("pct_covered")
     )
 
@@ -53,7 +55,7 @@ def identity_match_audit(
     matched = scope.join(train.select(*match_on).dropDuplicates(), on=match_on, how="left_semi")
     total = scope.agg(F.count(F.lit(1)).alias("n_total"))
     hit = matched.agg(F.count(F.lit(1)).alias("n_matched"))
-    return total.join(hit, how="inner").select(
+    return attach_row(total, hit).select(
         "n_total",
         "n_matched",
         F.try_divide(F.lit(100.0) * F.col("n_matched"), F.col("n_total").cast("double")).alias("pct_matched"),
