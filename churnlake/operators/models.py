@@ -105,7 +105,7 @@ def oof_scores(
     keep: Sequence[str],
     test: DataFrame | None = None,
     test_keep: Sequence[str] = ("id",),
-    parallelism: int = 2,
+    parallelism: int = 4,
     out: str = "p",
 ):
     """H16 + H17: one model per fold (``make(fold)`` gets the fold for its seed).

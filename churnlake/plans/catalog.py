@@ -68,7 +68,7 @@ def oracle_sql() -> dict[str, str]:
 
 def _load() -> None:
     # Importing the query modules fills CATALOG.
-    from churnlake.plans import queries_eval, queries_prep, queries_profile  # noqa: F401
+    from churnlake.plans import queries_eval, queries_models, queries_prep, queries_profile  # noqa: F401
 
 
 def double_columns(df: DataFrame) -> list[str]:
