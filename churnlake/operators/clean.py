@@ -14,15 +14,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from churnlake.operators.profile import iqr_bounds, numeric_columns
-from churnlake.operators.stats import median
+from churnlake.operators.stats import quantile_table
 
 
-def fit_medians(train: DataFrame, cols: Sequence[str], approx: bool = False) -> dict[str, float | None]:
-    """Median of each column on train (one pass, one row collected)."""
+def fit_medians(train: DataFrame, cols: Sequence[str], method: str | None = None) -> dict[str, float | None]:
+    """Exact median of each column on train (fitted constants)."""
     if not cols:
         return {}
-    row = train.agg(*[median(F.col(c).cast("double"), approx).alias(c) for c in cols]).first()
-    return {c: row[c] for c in cols}
+    q = quantile_table(train, cols, [0.5], method=method)
+    return {c: q[((), c)][0] for c in cols}
 
 
 def fill_constants(df: DataFrame, values: dict[str, object]) -> DataFrame:
@@ -37,15 +37,15 @@ def fill_constants(df: DataFrame, values: dict[str, object]) -> DataFrame:
     return df.select(*out)
 
 
-def impute_median_fit_train(train: DataFrame, test: DataFrame, cols: Sequence[str], approx: bool = False):
+def impute_median_fit_train(train: DataFrame, test: DataFrame, cols: Sequence[str], method: str | None = None):
     """Medians fitted on train fill both train and test."""
-    med = fit_medians(train, cols, approx)
+    med = fit_medians(train, cols, method)
     return fill_constants(train, med), fill_constants(test, med)
 
 
-def impute_median_all_numeric(df: DataFrame, approx: bool = False) -> DataFrame:
+def impute_median_all_numeric(df: DataFrame, method: str | None = None) -> DataFrame:
     """Every numeric column filled by its own median."""
-    return fill_constants(df, fit_medians(df, numeric_columns(df), approx))
+    return fill_constants(df, fit_medians(df, numeric_columns(df), method))
 
 
 def mode_of(df: DataFrame, col: str):
@@ -86,11 +86,11 @@ def columns_with_nulls(*dfs: DataFrame) -> list[str]:
     return found
 
 
-def impute_where_needed(train: DataFrame, test: DataFrame, approx: bool = False):
+def impute_where_needed(train: DataFrame, test: DataFrame, method: str | None = None):
     """Impute only columns with nulls in train or test (numeric: median, other: mode)."""
     need = [c for c in columns_with_nulls(train, test) if c in train.columns]
     num = set(numeric_columns(train))
-    med = fit_medians(train, [c for c in need if c in num], approx)
+    med = fit_medians(train, [c for c in need if c in num], method)
     modes = {c: mode_of(train, c) for c in need if c not in num}
     values = {**med, **modes}
     return fill_constants(train, values), fill_constants(test, {k: v for k, v in values.items() if k in test.columns})
@@ -101,9 +101,9 @@ def drop_duplicates(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 
 
-def outlier_rows(df: DataFrame, col: str, k: float = 1.5, approx: bool = False) -> DataFrame:
+def outlier_rows(df: DataFrame, col: str, k: float = 1.5, method: str | None = None) -> DataFrame:
     """Rows strictly outside the IQR fences of ``col`` (bounds collected: 2 numbers)."""
-    b = iqr_bounds(df, [col], k, approx).first()
+    b = iqr_bounds(df, [col], k, method).first()
     lo, hi = b[f"lo__{col}"], b[f"hi__{col}"]
     return df.where((F.col(col) < F.lit(lo)) | (F.col(col) > F.lit(hi)))
 

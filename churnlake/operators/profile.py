@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from churnlake.operators.joins import attach_row
-from churnlake.operators.stats import median, quantiles, sample_skewness
+from churnlake.operators.stats import lookup, quantile_table, sample_skewness
 
 
 def numeric_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
@@ -46,8 +46,12 @@ def schema_report(df: DataFrame) -> DataFrame:
     return _long(row, df.columns, ["dtype", "non_null"])
 
 
-def describe_numeric(df: DataFrame, cols: Sequence[str] | None = None, approx: bool = False) -> DataFrame:
-    """Count, mean, std (ddof=1), min, 25/50/75 %, max per numeric column, one pass."""
+def describe_numeric(df: DataFrame, cols: Sequence[str] | None = None, method: str | None = None) -> DataFrame:
+    """Count, mean, std (ddof=1), min, 25/50/75 %, max per numeric column.
+
+    Moments come from one fused aggregate; quantiles from
+    :func:`~churnlake.operators.stats.quantile_table` (distributed exact by default).
+    """
     cols = list(cols) if cols is not None else numeric_columns(df)
     aggs = []
     for c in cols:
@@ -57,26 +61,20 @@ def describe_numeric(df: DataFrame, cols: Sequence[str] | None = None, approx: b
             F.avg(x).alias(f"mean__{c}"),
             F.stddev_samp(x).alias(f"std__{c}"),
             F.min(x).alias(f"min__{c}"),
-            quantiles(x, [0.25, 0.5, 0.75], approx).alias(f"q__{c}"),
             F.max(x).alias(f"max__{c}"),
         ]
-    row = df.agg(*aggs)
-    for c in cols:
-        row = (
-            row.withColumn(f"p25__{c}", F.col(f"q__{c}")[0])
-            .withColumn(f"p50__{c}", F.col(f"q__{c}")[1])
-            .withColumn(f"p75__{c}", F.col(f"q__{c}")[2])
-        )
-    return _long(row, cols, ["count", "mean", "std", "min", "p25", "p50", "p75", "max"])
+    out = _long(df.agg(*aggs), cols, ["count", "mean", "std", "min", "max"])
+    q = quantile_table(df, cols, [0.25, 0.5, 0.75], method=method)
+    for i, name in enumerate(["p25", "p50", "p75"]):
+        out = out.withColumn(name, lookup({c: q[((), c)][i] for c in cols}, F.col("col_name")))
+    return out.select("col_name", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
-def median_skew(df: DataFrame, cols: Sequence[str], approx: bool = False) -> DataFrame:
+def median_skew(df: DataFrame, cols: Sequence[str], method: str | None = None) -> DataFrame:
     """B4 + B5: exact median and bias-adjusted skewness per column."""
-    aggs = []
-    for c in cols:
-        x = F.col(c).cast("double")
-        aggs += [median(x, approx).alias(f"median__{c}"), sample_skewness(x).alias(f"skew__{c}")]
-    return _long(df.agg(*aggs), cols, ["median", "skew"])
+    out = _long(df.agg(*[sample_skewness(F.col(c).cast("double")).alias(f"skew__{c}") for c in cols]), cols, ["skew"])
+    q = quantile_table(df, cols, [0.5], method=method)
+    return out.select("col_name", lookup({c: q[((), c)][0] for c in cols}, F.col("col_name")).alias("median"), "skew")
 
 
 def missing_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
@@ -111,31 +109,26 @@ def duplicate_count(df: DataFrame) -> DataFrame:
     return groups.agg(F.coalesce(F.sum(F.col("__c") - 1), F.lit(0)).cast("bigint").alias("duplicates"))
 
 
-def iqr_bounds(df: DataFrame, cols: Sequence[str], k: float = 1.5, approx: bool = False) -> DataFrame:
-    """One-row frame with ``q1__c, q3__c, lo__c, hi__c`` for every column."""
-    aggs = [quantiles(F.col(c).cast("double"), [0.25, 0.75], approx).alias(f"q__{c}") for c in cols]
-    row = df.agg(*aggs)
+def iqr_bounds(df: DataFrame, cols: Sequence[str], k: float = 1.5, method: str | None = None) -> DataFrame:
+    """One-row frame with ``q1__c, q3__c, iqr__c, lo__c, hi__c`` for every column (fitted constants)."""
+    q = quantile_table(df, cols, [0.25, 0.75], method=method)
     out = []
     for c in cols:
-        q1, q3 = F.col(f"q__{c}")[0], F.col(f"q__{c}")[1]
-        iqr = q3 - q1
-        out += [
-            q1.alias(f"q1__{c}"),
-            q3.alias(f"q3__{c}"),
-            iqr.alias(f"iqr__{c}"),
-            (q1 - F.lit(k) * iqr).alias(f"lo__{c}"),
-            (q3 + F.lit(k) * iqr).alias(f"hi__{c}"),
-        ]
-    return row.select(*out)
+        q1, q3 = q[((), c)]
+        iqr = None if q1 is None else q3 - q1
+        vals = {"q1": q1, "q3": q3, "iqr": iqr,
+                "lo": None if q1 is None else q1 - k * iqr, "hi": None if q1 is None else q3 + k * iqr}
+        out += [F.lit(v).cast("double").alias(f"{n}__{c}") for n, v in vals.items()]
+    return df.sparkSession.range(1).select(*out)
 
 
-def iqr_outliers(df: DataFrame, cols: Sequence[str], k: float = 1.5, approx: bool = False) -> DataFrame:
+def iqr_outliers(df: DataFrame, cols: Sequence[str], k: float = 1.5, method: str | None = None) -> DataFrame:
     """B10 + B11: Q1, Q3, IQR, bounds and counts strictly below / above / outside.
 
-    Two passes: quantiles (one row), then conditional counts with the bounds
-    joined in as a one-row broadcast (constant size by construction).
+    Quantiles first (fitted constants, one row), then one pass of
+    conditional counts with the bounds attached as a one-row broadcast.
     """
-    bounds = iqr_bounds(df, cols, k, approx)
+    bounds = iqr_bounds(df, cols, k, method)
     counted = attach_row(df.select(*[F.col(c).cast("double").alias(c) for c in cols]), bounds)
     aggs = [F.first(F.col(f"{fld}__{c}")).alias(f"{fld}__{c}") for c in cols for fld in ("q1", "q3", "iqr", "lo", "hi")]
     for c in cols:
@@ -201,31 +194,33 @@ def histogram(df: DataFrame, col: str, bins: int = 20) -> DataFrame:
     )
 
 
-def boxplot_stats(df: DataFrame, col: str, by: str | None = None, approx: bool = False) -> DataFrame:
+def boxplot_stats(df: DataFrame, col: str, by: str | None = None, method: str | None = None) -> DataFrame:
     """Q1, median, Q3, whiskers (furthest points within 1.5 IQR) and flier count.
 
-    Per group when ``by`` is given (null groups dropped). Stats per group are a
-    small table joined back by key (broadcast only when the key is the binary target).
+    Per group when ``by`` is given (null groups dropped). The quartiles are
+    fitted constants per group (a handful of classes), applied as a literal
+    map lookup; whiskers and fliers are one grouped pass.
     """
     x = F.col(col).cast("double")
     keys = [by] if by else []
     src = df.where(x.isNotNull())
     if by:
         src = src.where(F.col(by).isNotNull())
-    q = src.groupBy(*keys).agg(quantiles(x, [0.25, 0.5, 0.75], approx).alias("q"))
-    q = q.select(
-        *keys,
-        F.col("q")[0].alias("q1"),
-        F.col("q")[1].alias("med"),
-        F.col("q")[2].alias("q3"),
-    ).withColumn("lo", F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))).withColumn(
-        "hi", F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))
-    )
-    rows = src.select(*keys, x.alias("x"))
-    # One stats row per group: AQE broadcasts it at run time when it is small.
-    joined = rows.join(q, on=keys, how="inner") if keys else attach_row(rows, q)
+    q = quantile_table(src, [col], [0.25, 0.5, 0.75], by=keys, method=method)
+    groups = {g: v for (g, c), v in q.items() if v[0] is not None}
+    if by:
+        key = F.col(by)
+        q1 = lookup({g[0]: v[0] for g, v in groups.items()}, key)
+        med = lookup({g[0]: v[1] for g, v in groups.items()}, key)
+        q3 = lookup({g[0]: v[2] for g, v in groups.items()}, key)
+    else:
+        v = groups.get((), [None, None, None])
+        q1, med, q3 = (F.lit(x_).cast("double") for x_ in v)
+    lo = q1 - F.lit(1.5) * (q3 - q1)
+    hi = q3 + F.lit(1.5) * (q3 - q1)
+    rows = src.select(*keys, x.alias("x"), q1.alias("q1"), med.alias("med"), q3.alias("q3"), lo.alias("lo"), hi.alias("hi"))
     inside = (F.col("x") >= F.col("lo")) & (F.col("x") <= F.col("hi"))
-    return joined.groupBy(*keys).agg(
+    return rows.groupBy(*keys).agg(
         F.first("q1").alias("q1"),
         F.first("med").alias("median"),
         F.first("q3").alias("q3"),
