@@ -11,7 +11,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnlake.operators.joins import attach_row
 
 
 def overlapping_keys(train: DataFrame, test: DataFrame, key: str) -> DataFrame:
@@ -25,12 +24,16 @@ def key_intersection_count(train: DataFrame, test: DataFrame, key: str) -> DataF
 
 
 def key_coverage(train: DataFrame, test: DataFrame, key: str) -> DataFrame:
-    """Share of test rows whose key occurs in train (semi-join count / total)."""
-    covered = test.join(train.select(key).distinct(), on=key, how="left_semi")
-    total = test.agg(F.count(F.lit(1)).alias("n_test"))
-    hit = covered.agg(F.count(F.lit(1)).alias("n_covered"))
-    return attach_row(total, hit).select(
-        "n_test", "n_covered", (F.lit(100.0) * F.col("n_covered") / F.col("n_test")).alias("pct_covered")
+    """Share of test rows whose key occurs in train.
+
+    One left join against the distinct train keys (flagged) and one
+    aggregate; the distinct keys are a partial aggregate, so a hot key
+    collapses before the shuffle.
+    """
+    keys = train.select(key).distinct().withColumn("__hit", F.lit(1))
+    j = test.select(key).join(keys, on=key, how="left")
+    return j.agg(F.count(F.lit(1)).alias("n_test"), F.count("__hit").alias("n_covered")).select(
+        "n_test", "n_covered", F.try_divide(F.lit(100.0) * F.col("n_covered"), F.col("n_test").cast("double")).alias("pct_covered")
     )
 
 
@@ -50,12 +53,11 @@ def identity_match_audit(
     keys = overlapping_keys(train, test, key)
     if limit_keys is not None:
         keys = keys.orderBy(key).limit(limit_keys)
-    scope = test.join(keys, on=key, how="left_semi")
     match_on = [key, *attrs]
-    matched = scope.join(train.select(*match_on).dropDuplicates(), on=match_on, how="left_semi")
-    total = scope.agg(F.count(F.lit(1)).alias("n_total"))
-    hit = matched.agg(F.count(F.lit(1)).alias("n_matched"))
-    return attach_row(total, hit).select(
+    scope = test.select(*match_on).join(keys, on=key, how="left_semi")
+    identities = train.select(*match_on).dropDuplicates().withColumn("__hit", F.lit(1))
+    j = scope.join(identities, on=match_on, how="left")
+    return j.agg(F.count(F.lit(1)).alias("n_total"), F.count("__hit").alias("n_matched")).select(
         "n_total",
         "n_matched",
         F.try_divide(F.lit(100.0) * F.col("n_matched"), F.col("n_total").cast("double")).alias("pct_matched"),

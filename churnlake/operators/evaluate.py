@@ -13,7 +13,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from churnlake.operators.joins import attach_row
+from churnlake.operators.stats import order_statistics
 
 EPS = 1e-15
 
@@ -183,58 +183,31 @@ def best_threshold(curve: DataFrame, start_t: float = 0.5, start_f1: float = 0.0
 
 def threshold_sweep_f1(df: DataFrame, label: str, score: str, grid: Sequence[float]) -> DataFrame:
     """I4 end to end: best (threshold, F1) over the grid plus the positive rate at it."""
-    curve = threshold_curve(df, label, score, grid)
-    best = best_threshold(curve)
-    j = attach_row(df.select(F.col(score).cast("double").alias("__s")), best)
-    return j.groupBy("best_thresh", "best_f1").agg(F.avg((F.col("__s") >= F.col("best_thresh")).cast("double")).alias("pos_rate"))
+    best = best_threshold(threshold_curve(df, label, score, grid)).first()
+    t, f1 = best["best_thresh"], best["best_f1"]
+    return df.agg(F.avg((F.col(score).cast("double") >= F.lit(t)).cast("double")).alias("pos_rate")).select(
+        F.lit(t).alias("best_thresh"), F.lit(f1).alias("best_f1"), "pos_rate"
+    )
 
 
-def score_at_rank_desc(df: DataFrame, score: str, rank: int, max_collect: int = 100_000, bins: int = 1024) -> float | None:
-    """The score at 0-based position ``rank`` of the descending order.
+def scores_at_ranks_desc(df: DataFrame, score: str, ranks: Sequence[int]) -> dict[int, float | None]:
+    """Scores at 0-based positions of the descending order, all found in shared
+    histogram-narrowing passes (:func:`~churnlake.operators.stats.order_statistics`)."""
+    holder: dict[str, int] = {}
 
-    Iterative histogram narrowing: each pass counts rows per equal-width bin
-    inside the current range (plus min/max per bin) and keeps the bin that
-    holds the position; once that bin has at most ``max_collect`` rows (or a
-    single value) its distinct scores with counts are collected and scanned.
-    The driver never sees more than ``bins`` or ``max_collect`` rows.
-    """
-    s = F.col(score).cast("double")
-    base = df.select(s.alias("s")).where(F.col("s").isNotNull())
-    mm = base.agg(F.min("s").alias("lo"), F.max("s").alias("hi"), F.count(F.lit(1)).alias("n")).first()
-    if mm["n"] == 0 or rank >= mm["n"] or rank < 0:
-        return None
-    lo, hi, above = mm["lo"], mm["hi"], 0  # `above` = rows strictly greater than the current range
-    for _ in range(64):
-        part = base.where((F.col("s") >= F.lit(lo)) & (F.col("s") <= F.lit(hi)))
-        if lo == hi:
-            return lo
-        width = (hi - lo) / bins
-        b = F.least(F.floor((F.col("s") - F.lit(lo)) / F.lit(width)), F.lit(bins - 1)).cast("int")
-        hist = part.groupBy(b.alias("b")).agg(F.count(F.lit(1)).alias("c"), F.min("s").alias("mn"), F.max("s").alias("mx"))
-        rows = sorted(hist.collect(), key=lambda r: -r["b"])
-        acc = above
-        chosen = None
-        for r in rows:
-            if acc + r["c"] > rank:
-                chosen = r
-                break
-            acc += r["c"]
-        if chosen is None:
-            return None
-        if chosen["mn"] == chosen["mx"]:
-            return chosen["mn"]
-        if chosen["c"] <= max_collect:
-            vals = (
-                part.where((F.col("s") >= F.lit(chosen["mn"])) & (F.col("s") <= F.lit(chosen["mx"])))
-                .groupBy("s").agg(F.count(F.lit(1)).alias("c")).collect()
-            )
-            for v in sorted(vals, key=lambda r: -r["s"]):
-                if acc + v["c"] > rank:
-                    return v["s"]
-                acc += v["c"]
-            return None
-        above, lo, hi = acc, chosen["mn"], chosen["mx"]
-    raise RuntimeError("score_at_rank_desc did not converge")
+    def asc_ranks(n: int) -> set[int]:
+        holder["n"] = n
+        return {n - 1 - r for r in ranks if 0 <= r < n}
+
+    values, counts = order_statistics(df, [score], asc_ranks)
+    vals = values.get(((), score), {})
+    n = counts.get(((), score), 0)
+    return {r: (vals.get(n - 1 - r) if 0 <= r < n else None) for r in ranks}
+
+
+def score_at_rank_desc(df: DataFrame, score: str, rank: int) -> float | None:
+    """The score at 0-based position ``rank`` of the descending order."""
+    return scores_at_ranks_desc(df, score, [rank])[rank]
 
 
 def threshold_top_pct(df: DataFrame, label: str, score: str, pcts: Sequence[float]) -> DataFrame:
@@ -244,7 +217,8 @@ def threshold_top_pct(df: DataFrame, label: str, score: str, pcts: Sequence[floa
     candidates comes from one pass of conditional sums.
     """
     n = df.where(F.col(score).isNotNull()).count()
-    cands = [(float(p), int(p * n), score_at_rank_desc(df, score, int(p * n))) for p in pcts]
+    at = scores_at_ranks_desc(df, score, [int(p * n) for p in pcts])
+    cands = [(float(p), int(p * n), at[int(p * n)]) for p in pcts]
     y = F.col(label).cast("int")
     s = F.col(score).cast("double")
     aggs = [F.sum(y).alias("P")]

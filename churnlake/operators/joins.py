@@ -41,15 +41,3 @@ def lookup_join_default(
     joined = df.join(table.select(*keys, F.col(value).alias("__lookup_v")), on=keys, how="left")
     return joined.withColumn(out, F.coalesce(F.col("__lookup_v"), default_col)).drop("__lookup_v")
 
-
-def attach_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Append the columns of a one-row frame (a global aggregate) to every row.
-
-    Written as an equi join on a constant key against a broadcast of the
-    one-row side, so the plan is a broadcast hash join, never a cartesian
-    product. ``one_row`` must be an aggregate without grouping (exactly one row).
-    """
-    key = "__one_row_key"
-    left = df.withColumn(key, F.lit(0))
-    right = F.broadcast(one_row.withColumn(key, F.lit(0)))
-    return left.join(right, key).drop(key)

@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from churnlake.operators.joins import attach_row
 from churnlake.operators.stats import lookup, quantile_table, sample_skewness
 
 
@@ -125,19 +124,19 @@ def iqr_bounds(df: DataFrame, cols: Sequence[str], k: float = 1.5, method: str |
 def iqr_outliers(df: DataFrame, cols: Sequence[str], k: float = 1.5, method: str | None = None) -> DataFrame:
     """B10 + B11: Q1, Q3, IQR, bounds and counts strictly below / above / outside.
 
-    Quantiles first (fitted constants, one row), then one pass of
-    conditional counts with the bounds attached as a one-row broadcast.
+    Quantiles first (fitted constants), then one pass of conditional counts
+    with the bounds as literals (no join).
     """
-    bounds = iqr_bounds(df, cols, k, method)
-    counted = attach_row(df.select(*[F.col(c).cast("double").alias(c) for c in cols]), bounds)
-    aggs = [F.first(F.col(f"{fld}__{c}")).alias(f"{fld}__{c}") for c in cols for fld in ("q1", "q3", "iqr", "lo", "hi")]
+    b = iqr_bounds(df, cols, k, method).first()
+    aggs = []
     for c in cols:
-        aggs += [
-            F.count(F.when(F.col(c) < F.col(f"lo__{c}"), 1)).alias(f"n_low__{c}"),
-            F.count(F.when(F.col(c) > F.col(f"hi__{c}"), 1)).alias(f"n_high__{c}"),
-        ]
-    row = counted.agg(*aggs)
+        x = F.col(c).cast("double")
+        lo, hi = F.lit(b[f"lo__{c}"]).cast("double"), F.lit(b[f"hi__{c}"]).cast("double")
+        aggs += [F.count(F.when(x < lo, 1)).alias(f"n_low__{c}"), F.count(F.when(x > hi, 1)).alias(f"n_high__{c}")]
+    row = df.agg(*aggs)
     for c in cols:
+        for fld in ("q1", "q3", "iqr", "lo", "hi"):
+            row = row.withColumn(f"{fld}__{c}", F.lit(b[f"{fld}__{c}"]).cast("double"))
         row = row.withColumn(f"n_outliers__{c}", F.col(f"n_low__{c}") + F.col(f"n_high__{c}"))
     return _long(row, cols, ["q1", "q3", "iqr", "lo", "hi", "n_low", "n_high", "n_outliers"])
 
@@ -167,27 +166,24 @@ def global_rate(df: DataFrame, target: str) -> DataFrame:
 def histogram(df: DataFrame, col: str, bins: int = 20) -> DataFrame:
     """Equal-width bins over [min, max]; the last bin is right-closed; empty bins kept.
 
-    The bin frame (``bins`` rows) is generated by ``range`` and the row bins
-    are aggregated before the join, so the join is bins x bins.
+    min/max are fitted constants (one aggregate); rows are binned and counted
+    in one pass; the ``bins``-row edge frame joins the counted bins.
     """
     spark = df.sparkSession
     x = F.col(col).cast("double")
-    mm = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi"))
-    width = (F.col("hi") - F.col("lo")) / F.lit(float(bins))
-    bin_of_x = F.when(F.col("hi") == F.col("lo"), F.lit(0)).otherwise(
-        F.least(F.floor((F.col("x") - F.col("lo")) / width), F.lit(bins - 1))
-    )
-    counted = (
-        attach_row(df.where(x.isNotNull()).select(x.alias("x")), mm)
-        .select(bin_of_x.cast("int").alias("bin"))
-        .groupBy("bin")
-        .agg(F.count(F.lit(1)).alias("count"))
-    )
-    grid = attach_row(spark.range(bins).select(F.col("id").cast("int").alias("bin")), mm)
-    edges = grid.select(
+    mm = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi")).first()
+    lo, hi = mm["lo"], mm["hi"]
+    if lo is None:
+        return spark.range(0).select(F.lit(0).alias("bin"), F.lit(0.0).alias("bin_left"), F.lit(0.0).alias("bin_right"),
+                                     F.lit(0).cast("bigint").alias("count"))
+    width = (F.lit(hi) - F.lit(lo)) / F.lit(float(bins))
+    bin_of_x = F.lit(0) if hi == lo else F.least(F.floor((x - F.lit(lo)) / width), F.lit(bins - 1))
+    counted = df.where(x.isNotNull()).groupBy(bin_of_x.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+    b = F.col("bin")
+    edges = spark.range(bins).select(F.col("id").cast("int").alias("bin")).select(
         "bin",
-        (F.col("lo") + F.col("bin") * width).alias("bin_left"),
-        F.when(F.col("bin") == bins - 1, F.col("hi")).otherwise(F.col("lo") + (F.col("bin") + 1) * width).alias("bin_right"),
+        (F.lit(lo) + F.col("bin") * width).alias("bin_left"),
+        F.when(b == bins - 1, F.lit(hi)).otherwise(F.lit(lo) + (b + 1) * width).alias("bin_right"),
     )
     return edges.join(counted, "bin", "left").select(
         "bin", "bin_left", "bin_right", F.coalesce(F.col("count"), F.lit(0)).cast("bigint").alias("count")

@@ -64,122 +64,140 @@ def exact_quantiles(
     """Exact linear-interpolation quantiles (pandas / ``quantile_cont``) without
     gathering a column's distinct values into one task.
 
-    Order statistics are found by histogram narrowing: every pass scans the
-    long form ``(by..., col_name, v)`` once, restricted to the value ranges
-    that still hold a wanted rank, and counts rows per (range, bin). A rank
-    whose bin holds one value, or at most ``max_collect`` rows, is resolved
-    from that bin; otherwise its range shrinks to the bin. All columns, groups
-    and ranks share each pass, so a describe of many columns takes a few scans.
-    Driver traffic per pass: at most (#ranges x ``bins``) rows.
-
+    The order statistics they need are found by :func:`order_statistics`.
     Returns ``{(group tuple, col_name): [q for q in probs]}`` (None when empty).
     """
-    from pyspark.sql import functions as F  # local: keep module import light
+
+    def ranks(n: int) -> set[int]:
+        out = set()
+        for p in probs:
+            pos = p * (n - 1)
+            out.update({int(math.floor(pos)), int(math.ceil(pos))})
+        return out
+
+    values, counts = order_statistics(df, cols, ranks, by, bins, max_collect)
+    out = {}
+    for key, n in counts.items():
+        qs = []
+        for p in probs:
+            pos = p * (n - 1)
+            lo_r, hi_r = int(math.floor(pos)), int(math.ceil(pos))
+            a, b = values[key][lo_r], values[key][hi_r]
+            qs.append(a + (b - a) * (pos - lo_r))
+        out[key] = qs
+    groups = {g for g, _ in counts} or {()}
+    for c in cols:
+        for g in groups:
+            out.setdefault((g, c), [None] * len(probs))
+    return out
+
+
+def order_statistics(df, cols: Sequence[str], ranks_for, by: Sequence[str] = (), bins: int = 1024,
+                     max_collect: int = 100_000):
+    """Values at 0-based ascending ranks, for every (group, column), by histogram narrowing.
+
+    ``ranks_for(n)`` gives the wanted ranks for a (group, column) with ``n``
+    non-null values. Every pass scans the long form ``(by..., col_name, v)``
+    once, restricted to the value ranges that still hold a wanted rank, and
+    counts rows per (range, bin). A rank whose bin holds one value, or at most
+    ``max_collect`` rows, is resolved from that bin; otherwise its range
+    shrinks to the bin. All columns, groups and ranks share each pass, so a
+    handful of scans serve a whole describe. Driver traffic per pass is at
+    most (#open ranges x ``bins``) rows; no task ever holds a whole column.
+
+    Returns (``{(group, col): {rank: value}}``, ``{(group, col): n}``).
+    """
+    from pyspark.sql import functions as F
 
     by = list(by)
     # The passes re-read only the projected columns; they are cached once
     # (memory, spilling to disk) and released at the end.
     narrow = df.select(*by, *[F.col(c).cast("double").alias(c) for c in cols]).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return _exact_quantiles(narrow, cols, probs, by, bins, max_collect)
-    finally:
-        narrow.unpersist()
-
-
-def _exact_quantiles(df, cols, probs, by, bins, max_collect) -> dict:
-    from pyspark.sql import functions as F
-
-    long = df.select(
-        *by,
-        F.explode(F.array(*[F.struct(F.lit(c).alias("col_name"), F.col(c).cast("double").alias("v")) for c in cols])).alias("__r"),
-    ).select(*by, "__r.col_name", "__r.v").where(F.col("v").isNotNull() & ~F.isnan("v"))
-    keys = by + ["col_name"]
-    stats = long.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("mn"), F.max("v").alias("mx")).collect()
-
-    # rank state: key -> rank -> [lo, hi, below, value or None]
-    wanted: dict[tuple, dict[int, list]] = {}
-    meta = {}
-    for r in stats:
-        key = tuple(r[k] for k in keys)
-        meta[key] = r["n"]
-        ranks = set()
-        for p in probs:
-            pos = p * (r["n"] - 1)
-            ranks.update({int(math.floor(pos)), int(math.ceil(pos))})
-        wanted[key] = {k: [r["mn"], r["mx"], 0, r["mn"] if r["mn"] == r["mx"] else None] for k in ranks}
-
-    spark = df.sparkSession
-    key_schema = ", ".join(f"`{k}` {t}" for k, t in _key_types(long, keys))
-    for _ in range(64):
-        open_ranges = sorted({(key, st[0], st[1]) for key, rs in wanted.items() for st in rs.values() if st[3] is None},
-                             key=lambda x: (str(x[0]), x[1], x[2]))
-        if not open_ranges:
-            break
-        rng_rows = [(*key, i, lo, hi) for i, (key, lo, hi) in enumerate(open_ranges)]
-        ranges = spark.createDataFrame(rng_rows, f"{key_schema}, rid int, lo double, hi double")
-        # Range table: one row per open range (bounded by #columns x #groups x 2 #probs).
-        sel = long.join(F.broadcast(ranges), on=keys).where((F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi")))
-        width = (F.col("hi") - F.col("lo")) / F.lit(float(bins))
-        b = F.least(F.floor((F.col("v") - F.col("lo")) / width), F.lit(bins - 1)).cast("int")
-        hist = sel.groupBy("rid", b.alias("bin")).agg(F.count(F.lit(1)).alias("c"), F.min("v").alias("bmn"), F.max("v").alias("bmx")).collect()
-        per_range: dict[int, list] = {}
-        for h in hist:
-            per_range.setdefault(h["rid"], []).append(h)
-        collect_bins = []  # (rid, key, bmn, bmx)
-        for rid, (key, lo, hi) in enumerate(open_ranges):
-            hs = sorted(per_range.get(rid, []), key=lambda h: h["bin"])
-            for rank, st in wanted[key].items():
-                if st[3] is not None or (st[0], st[1]) != (lo, hi):
-                    continue
-                acc = st[2]
-                for h in hs:
-                    if acc + h["c"] > rank:
-                        if h["bmn"] == h["bmx"]:
-                            st[3] = h["bmn"]
-                        elif h["c"] <= max_collect:
-                            st[0], st[1], st[2] = h["bmn"], h["bmx"], acc
-                            collect_bins.append((key, h["bmn"], h["bmx"]))
-                            st.append("collect")
-                        else:
-                            st[0], st[1], st[2] = h["bmn"], h["bmx"], acc
-                        break
-                    acc += h["c"]
-        if collect_bins:
-            uniq = sorted(set(collect_bins), key=lambda x: (str(x[0]), x[1], x[2]))
-            crows = [(*key, i, lo, hi) for i, (key, lo, hi) in enumerate(uniq)]
-            cr = spark.createDataFrame(crows, f"{key_schema}, rid int, lo double, hi double")
-            vals = (
-                long.join(F.broadcast(cr), on=keys).where((F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi")))
-                .groupBy("rid", "v").agg(F.count(F.lit(1)).alias("c")).collect()
+        long = narrow.select(
+            *by,
+            F.explode(F.array(*[F.struct(F.lit(c).alias("col_name"), F.col(c).alias("v")) for c in cols])).alias("__r"),
+        ).select(*by, "__r.col_name", "__r.v").where(F.col("v").isNotNull() & ~F.isnan("v"))
+        keys = by + ["col_name"]
+        stats = long.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("mn"), F.max("v").alias("mx")).collect()
+        # state per (key, rank): [lo, hi, rows below lo, value, collect-flag]
+        wanted: dict[tuple, dict[int, list]] = {}
+        counts = {}
+        for r in stats:
+            key = tuple(r[k] for k in keys)
+            counts[(key[:-1], key[-1])] = r["n"]
+            wanted[key] = {
+                k: [r["mn"], r["mx"], 0, r["mn"] if r["mn"] == r["mx"] else None, False]
+                for k in ranks_for(r["n"]) if 0 <= k < r["n"]
+            }
+        spark = df.sparkSession
+        key_schema = ", ".join(f"`{k}` {t}" for k, t in _key_types(long, keys))
+
+        def range_frame(items):
+            rows = [(*key, i, lo, hi) for i, (key, lo, hi) in enumerate(items)]
+            return spark.createDataFrame(rows, f"{key_schema}, rid int, lo double, hi double")
+
+        def restricted(items):
+            # One row per open range (bounded by #columns x #groups x #ranks).
+            rf = F.broadcast(range_frame(items))
+            return long.join(rf, on=keys).where((F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi")))
+
+        for _ in range(64):
+            open_ranges = sorted(
+                {(key, st[0], st[1]) for key, rs in wanted.items() for st in rs.values() if st[3] is None and not st[4]},
+                key=lambda x: (str(x[0]), x[1], x[2]),
             )
-            by_rid: dict[int, list] = {}
-            for v in vals:
-                by_rid.setdefault(v["rid"], []).append(v)
-            for rid, (key, lo, hi) in enumerate(uniq):
-                vs = sorted(by_rid.get(rid, []), key=lambda v: v["v"])
+            collect = sorted(
+                {(key, st[0], st[1]) for key, rs in wanted.items() for st in rs.values() if st[3] is None and st[4]},
+                key=lambda x: (str(x[0]), x[1], x[2]),
+            )
+            if not open_ranges and not collect:
+                break
+            if collect:
+                vals = restricted(collect).groupBy("rid", "v").agg(F.count(F.lit(1)).alias("c")).collect()
+                by_rid: dict[int, list] = {}
+                for v in vals:
+                    by_rid.setdefault(v["rid"], []).append(v)
+                for rid, (key, lo, hi) in enumerate(collect):
+                    vs = sorted(by_rid.get(rid, []), key=lambda v: v["v"])
+                    for rank, st in wanted[key].items():
+                        if st[3] is None and st[4] and (st[0], st[1]) == (lo, hi):
+                            acc = st[2]
+                            for v in vs:
+                                if acc + v["c"] > rank:
+                                    st[3] = v["v"]
+                                    break
+                                acc += v["c"]
+                continue
+            width = (F.col("hi") - F.col("lo")) / F.lit(float(bins))
+            b = F.least(F.floor((F.col("v") - F.col("lo")) / width), F.lit(bins - 1)).cast("int")
+            hist = restricted(open_ranges).groupBy("rid", b.alias("bin")).agg(
+                F.count(F.lit(1)).alias("c"), F.min("v").alias("bmn"), F.max("v").alias("bmx")
+            ).collect()
+            per_range: dict[int, list] = {}
+            for h in hist:
+                per_range.setdefault(h["rid"], []).append(h)
+            for rid, (key, lo, hi) in enumerate(open_ranges):
+                hs = sorted(per_range.get(rid, []), key=lambda h: h["bin"])
                 for rank, st in wanted[key].items():
-                    if st[3] is not None or len(st) < 5 or (st[0], st[1]) != (lo, hi):
+                    if st[3] is not None or st[4] or (st[0], st[1]) != (lo, hi):
                         continue
                     acc = st[2]
-                    for v in vs:
-                        if acc + v["c"] > rank:
-                            st[3] = v["v"]
+                    for h in hs:
+                        if acc + h["c"] > rank:
+                            if h["bmn"] == h["bmx"]:
+                                st[3] = h["bmn"]
+                            else:
+                                st[0], st[1], st[2] = h["bmn"], h["bmx"], acc
+                                st[4] = h["c"] <= max_collect
                             break
-                        acc += v["c"]
-    out = {}
-    for key, rs in wanted.items():
-        n = meta[key]
-        qs = []
-        for p in probs:
-            pos = p * (n - 1)
-            lo_r, hi_r = int(math.floor(pos)), int(math.ceil(pos))
-            a, b_ = rs[lo_r][3], rs[hi_r][3]
-            qs.append(a + (b_ - a) * (pos - lo_r))
-        out[(tuple(key[:-1]), key[-1])] = qs
-    for c in cols:
-        for g in {k[:-1] for k in wanted} or {()}:
-            out.setdefault((tuple(g), c), [None] * len(probs))
-    return out
+                        acc += h["c"]
+        else:
+            raise RuntimeError("order_statistics did not converge")
+        values = {(key[:-1], key[-1]): {k: st[3] for k, st in rs.items()} for key, rs in wanted.items()}
+        return values, counts
+    finally:
+        narrow.unpersist()
 
 
 def _key_types(df, keys):
