@@ -54,7 +54,7 @@ def describe_numeric(df: DataFrame, cols: Sequence[str] | None = None, method: s
     cols = list(cols) if cols is not None else numeric_columns(df)
     aggs = []
     for c in cols:
-        x = F.col(c).cast("double")
+        x = F.col(c)
         aggs += [
             F.count(x).alias(f"count__{c}"),
             F.avg(x).alias(f"mean__{c}"),
@@ -62,8 +62,9 @@ def describe_numeric(df: DataFrame, cols: Sequence[str] | None = None, method: s
             F.min(x).alias(f"min__{c}"),
             F.max(x).alias(f"max__{c}"),
         ]
-    out = _long(df.agg(*aggs), cols, ["count", "mean", "std", "min", "max"])
-    q = quantile_table(df, cols, [0.25, 0.5, 0.75], method=method)
+    narrow = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
+    out = _long(narrow.agg(*aggs), cols, ["count", "mean", "std", "min", "max"])
+    q = quantile_table(narrow, cols, [0.25, 0.5, 0.75], method=method)
     for i, name in enumerate(["p25", "p50", "p75"]):
         out = out.withColumn(name, lookup({c: q[((), c)][i] for c in cols}, F.col("col_name")))
     return out.select("col_name", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
@@ -231,9 +232,10 @@ def grouped_density(df: DataFrame, col: str, by: str, gridsize: int = 200, cut:
 
     Bandwidth by Scott's rule (sample std * n^(-1/5)); each class gets its own
     grid of ``gridsize`` points over [min - cut*bw, max + cut*bw].
-    Equal values are pre-aggregated first; then one aggregation computes all
-    ``gridsize`` kernel sums as separate aggregate columns (no cross join, no
-    explode), and the result is unpivoted to (class, grid_x, density).
+    Equal values are pre-aggregated first (weight = multiplicity); each
+    distinct value then contributes to the fixed ``gridsize`` grid points
+    (a generated sequence, not data), and the kernel sums are a partial
+    aggregate per (class, grid point), so the shuffle is classes x gridsize rows per task.
     """
     x = F.col(col).cast("double")
     src = df.where(x.isNotNull() & F.col(by).isNotNull())
@@ -246,25 +248,15 @@ def grouped_density(df: DataFrame, col: str, by: str, gridsize: int = 200, cut:
     )
     distinct_x = src.groupBy(by, x.alias("x")).agg(F.count(F.lit(1)).cast("double").alias("w"))
     # One stats row per class; AQE broadcasts it at run time when it is small.
-    joined = distinct_x.join(stats, by)
-    sums = []
-    for j in range(gridsize):
-        g = F.col("g0") + F.lit(float(j)) * F.col("gstep")
-        z = (g - F.col("x")) / F.col("bw")
-        sums.append(F.sum(F.col("w") * F.exp(F.lit(-0.5) * z * z)).alias(f"k{j}"))
-    per_class = joined.groupBy(by).agg(
-        F.first("n").alias("n"), F.first("bw").alias("bw"), F.first("g0").alias("g0"), F.first("gstep").alias("gstep"), *sums
+    joined = distinct_x.join(stats, by).select(
+        by, "x", "w", "n", "bw", "g0", "gstep", F.explode(F.sequence(F.lit(0), F.lit(gridsize - 1))).alias("grid_i")
     )
+    g = F.col("g0") + F.col("grid_i").cast("double") * F.col("gstep")
+    z = (g - F.col("x")) / F.col("bw")
+    kernel = joined.select(by, "grid_i", g.alias("grid_x"), "n", "bw", (F.col("w") * F.exp(F.lit(-0.5) * z * z)).alias("kv"))
+    sums = kernel.groupBy(by, "grid_i", "grid_x", "n", "bw").agg(F.sum("kv").alias("s"))
     norm = F.lit(1.0 / (2.0 * 3.141592653589793) ** 0.5)
-    structs = [
-        F.struct(
-            F.lit(j).alias("grid_i"),
-            (F.col("g0") + F.lit(float(j)) * F.col("gstep")).alias("grid_x"),
-            (F.col(f"k{j}") * norm / (F.col("n") * F.col("bw"))).alias("density"),
-        )
-        for j in range(gridsize)
-    ]
-    return per_class.select(by, F.explode(F.array(*structs)).alias("r")).select(by, "r.*")
+    return sums.select(by, "grid_i", "grid_x", (F.col("s") * norm / (F.col("n") * F.col("bw"))).alias("density"))
 
 
 def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:

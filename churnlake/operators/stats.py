@@ -112,7 +112,10 @@ def order_statistics(df, cols: Sequence[str], ranks_for, by: Sequence[str] = (),
     by = list(by)
     # The passes re-read only the projected columns; they are cached once
     # (memory, spilling to disk) and released at the end.
-    narrow = df.select(*by, *[F.col(c).cast("double").alias(c) for c in cols]).persist(StorageLevel.MEMORY_AND_DISK)
+    narrow = df.select(*by, *[F.col(c).cast("double").alias(c) for c in cols])
+    own_cache = not df.is_cached
+    if own_cache:
+        narrow = narrow.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         long = narrow.select(
             *by,
@@ -197,7 +200,8 @@ def order_statistics(df, cols: Sequence[str], ranks_for, by: Sequence[str] = (),
         values = {(key[:-1], key[-1]): {k: st[3] for k, st in rs.items()} for key, rs in wanted.items()}
         return values, counts
     finally:
-        narrow.unpersist()
+        if own_cache:
+            narrow.unpersist()
 
 
 def _key_types(df, keys):

@@ -45,8 +45,9 @@ class Matrix:
     prior: float
 
 
-def model_matrix(train: DataFrame, test: DataFrame, k: int = 30, ln_m: float = 20.0, cid_m: float = 5.0,
-                 engineered: bool = True, persist: bool = True) -> Matrix:
+def model_frame(train: DataFrame, test: DataFrame, k: int = 30, ln_m: float = 20.0, cid_m: float = 5.0,
+                engineered: bool = True):
+    """Wide train/test frames of the final model: (train with fold, test, feature names, prior)."""
     train, test = C.impute_median_fit_train(train, test, IMPUTE_NUM)
     train, test = C.impute_mode_fit_train(train, test, ["country"])
     if engineered:
@@ -63,10 +64,16 @@ def model_matrix(train: DataFrame, test: DataFrame, k: int = 30, ln_m: float = 2
     num = BASE_NUM + (list(FE.ENGINEERED) if engineered else []) + ["last_name_te", "customer_id_te"]
     dummies = [D.dummy_name(c, v) for c, vs in levels.items() for v in vs]
     names = num + dummies
+    return enc, C.align_columns(test_enc, ["id", *names]), names, prior
+
+
+def model_matrix(train: DataFrame, test: DataFrame, k: int = 30, ln_m: float = 20.0, cid_m: float = 5.0,
+                 engineered: bool = True, persist: bool = True) -> Matrix:
+    enc, test_wide, names, prior = model_frame(train, test, k, ln_m, cid_m, engineered)
     tr = D.assemble_features(enc.withColumn("label", F.col(TARGET).cast("double")), names).select(
         "id", TARGET, "label", "fold", "features"
     )
-    te = D.assemble_features(C.align_columns(test_enc, ["id", *names]), names).select("id", "features")
+    te = D.assemble_features(test_wide, names).select("id", "features")
     if persist:
         tr = tr.persist(StorageLevel.MEMORY_AND_DISK)
         te = te.persist(StorageLevel.MEMORY_AND_DISK)

@@ -169,7 +169,7 @@ _FEAT_SQL = {
 
 def _imputed_sql(src: str) -> str:
     return (
-        "SELECT * REPLACE (" + ", ".join(f"coalesce({src}.{c}, med.{c}) AS {c}" for c in IMPUTE_NUM)
+        f"SELECT {src}.* REPLACE (" + ", ".join(f"coalesce({src}.{c}, med.{c}) AS {c}" for c in IMPUTE_NUM)
         + f", coalesce({src}.country, {_MODE_COUNTRY}) AS country) FROM {src}, med"
     )
 
@@ -539,3 +539,31 @@ def g05_identity_match_audit(spark, sf_dir):
 def g06_limit_keys_audit(spark, sf_dir):
     train, test = _tt(spark, sf_dir)
     return G.identity_match_audit(train, test, "customer_id", ["last_name", "country", "gender"], limit_keys=100)
+
+
+_MATRIX_NUM = ["credit_score", "age", "tenure", "acc_balance", "prod_count", "has_card", "is_active", "estimated_salary",
+               *list(FE.ENGINEERED)]
+
+
+@register(
+    "d11_model_matrix_test",
+    "SELECT t.id, " + ", ".join(f"t.{c}" for c in _MATRIX_NUM)
+    + ", coalesce(ln.te, pr.prior) AS last_name_te, coalesce(ci.te, pr.prior) AS customer_id_te "
+    "FROM ftest t CROSS JOIN pr "
+    "LEFT JOIN (SELECT last_name, (sum(exit_status) + 20.0 * first(pr.prior)) / (count(*) + 20.0) AS te FROM itrain, pr "
+    "           WHERE last_name IS NOT NULL GROUP BY last_name) ln ON t.last_name = ln.last_name "
+    "LEFT JOIN (SELECT customer_id, last_name, country, gender, (sum(exit_status) + 5.0 * first(pr.prior)) / (count(*) + 5.0) AS te "
+    "           FROM itrain, pr WHERE customer_id IS NOT NULL AND last_name IS NOT NULL AND country IS NOT NULL AND gender IS NOT NULL "
+    "           GROUP BY customer_id, last_name, country, gender) ci "
+    "  ON t.customer_id = ci.customer_id AND t.last_name = ci.last_name AND t.country = ci.country AND t.gender = ci.gender",
+    rounded=("credit_score", "acc_balance", "age_x_active", "balance_salary_ratio", "products_per_tenure", "credit_active",
+             "is_active_products", "last_name_te", "customer_id_te"),
+    ctes=_MED_CTE + ",\n" + _PRIOR_CTE + ",\nitrain AS (" + _imputed_sql("train") + "),\nitest AS (" + _imputed_sql("test")
+    + "),\nftest AS (SELECT *, " + ", ".join(f"{e} AS {n}" for n, e in _FEAT_SQL.items()) + " FROM itest)",
+)
+def d11_model_matrix_test(spark, sf_dir):
+    from churnlake.plans.churn import model_frame
+
+    train, test = _tt(spark, sf_dir)
+    _, test_wide, _, _ = model_frame(train, test, k=5)
+    return test_wide.select("id", *_MATRIX_NUM, "last_name_te", "customer_id_te")
