@@ -9,11 +9,13 @@ small table; the value for a row of fold f is
 k aggregates and k joins, and the same (key, fold) table serves any number
 of smoothing values.
 
-Scale: the aggregate is partial (map-side combine), so a key holding a third
-of all rows shrinks to one row per task before the shuffle; the join back is
-an equi join on (key, fold) whose skewed partitions AQE splits. Rows with a
-null key part never join and get the prior (pandas drops null keys in
-``groupby``).
+Scale: the rows are aggregated once (partial aggregate, map-side combine), so
+a key holding a third of all rows shrinks to one row per task before the
+shuffle; fold totals and per-key totals come from that small table; the join
+back is an equi join on (key, fold) whose skewed partitions AQE splits. Rows
+with a null key part never join and get the prior (pandas drops null keys in
+``groupby``). The rows are read twice (aggregate and join), so pass a
+materialised frame (the pipelines checkpoint the folded table).
 """
 
 from __future__ import annotations
@@ -93,8 +95,11 @@ def oof_target_encode(
     outs = [out] if isinstance(out, str) else list(out)
     y = F.col(target).cast("double")
 
-    # Fold totals: k rows (k = number of folds), so the broadcast is bounded by k.
-    per_fold = df.groupBy(fold_col).agg(F.count(y).alias("__fn"), F.sum(y).alias("__fs"))
+    # The only pass over the rows: a partial aggregate per (key, fold), null keys included.
+    per_key_fold = df.groupBy(*keys, fold_col).agg(F.count(y).alias("__kn"), F.sum(y).alias("__ks"))
+
+    # Fold totals from that table (k rows), so the broadcast is bounded by k.
+    per_fold = per_key_fold.groupBy(fold_col).agg(F.sum("__kn").alias("__fn"), F.sum("__ks").alias("__fs"))
     all_w = Window.partitionBy()
     priors = per_fold.select(
         fold_col,
@@ -103,11 +108,8 @@ def oof_target_encode(
     )
     prior_col = F.col("__pg") if prior == "global" else F.coalesce(F.col("__pf"), F.col("__pg"))
 
-    per_key_fold = df.where(_not_null(keys)).groupBy(*keys, fold_col).agg(
-        F.count(y).alias("__kn"), F.sum(y).alias("__ks")
-    )
     by_key = Window.partitionBy(*keys)
-    stats = per_key_fold.select(
+    stats = per_key_fold.where(_not_null(keys)).select(
         *keys, fold_col, "__kn", "__ks",
         F.sum("__kn").over(by_key).alias("__tn"),
         F.sum("__ks").over(by_key).alias("__ts"),

@@ -22,18 +22,23 @@ DEFAULT_BITS = 16
 
 def rank_in_class(df: DataFrame, label: str, id_col: str = "id", seed: str = FOLD_SEED,
                   bits: int = DEFAULT_BITS, out: str = "rank_in_class") -> DataFrame:
-    """1-based rank of each row inside its class, ordered by (hash(seed, id), id)."""
+    """1-based rank of each row inside its class, ordered by (hash(seed, id), id).
+
+    One shuffle of the rows on (class, bucket): the window numbers rows inside
+    each bucket, and the bucket sizes are counted from the same partitions
+    (the exchange is reused), so the source is read once.
+    """
     h = "__h"
     b = "__b"
     with_h = df.withColumn(h, hash32(id_col, seed)).withColumn(b, F.shiftright(F.col(h), 32 - bits))
-    counts = with_h.groupBy(label, b).agg(F.count(F.lit(1)).alias("__cnt"))
-    before = Window.partitionBy(label).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(label, b, F.coalesce(F.sum("__cnt").over(before), F.lit(0)).alias("__off"))
     w = Window.partitionBy(label, b).orderBy(h, id_col)
     ranked = with_h.withColumn("__rn", F.row_number().over(w))
+    counts = ranked.groupBy(label, b).agg(F.max("__rn").alias("__cnt"))
+    before = Window.partitionBy(label).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(label, b, F.coalesce(F.sum("__cnt").over(before), F.lit(0)).alias("__off"))
     # Offsets: at most n_classes x 2^bits rows (bounded by construction) -> broadcast.
     joined = ranked.join(F.broadcast(offsets), on=[label, b], how="left")
-    # A null class label never equals itself in the join; it ranks inside the null class by rn alone.
+    # Labels must be non-null: a null class never equals itself in the join.
     return joined.withColumn(out, (F.coalesce(F.col("__off"), F.lit(0)) + F.col("__rn")).cast("bigint")).drop(
         h, b, "__rn", "__off"
     )

@@ -29,6 +29,7 @@ from churnlake.operators import evaluate as I
 from churnlake.operators import folds as E
 from churnlake.operators import models as H
 from churnlake.sources.accounts import accounts, train_test
+from churnlake.session import require_checkpoint_dir
 from churnlake.sources.io import submission_table
 
 TARGET = "exit_status"
@@ -52,8 +53,11 @@ def model_frame(train: DataFrame, test: DataFrame, k: int = 30, ln_m: float = 20
     train, test = C.impute_mode_fit_train(train, test, ["country"])
     if engineered:
         train, test = FE.add_engineered(train), FE.add_engineered(test)
-    folded = E.stratified_kfold(train, TARGET, k)
-    prior = TE.global_prior(train, TARGET)
+    # The folded table is read by every later step: materialise it once in the
+    # shared checkpoint folder (cuts the lineage, survives executor loss).
+    require_checkpoint_dir(train.sparkSession)
+    folded = E.stratified_kfold(train, TARGET, k).checkpoint(eager=True)
+    prior = TE.global_prior(folded, TARGET)
     enc = TE.oof_target_encode(folded, "last_name", TARGET, "fold", ln_m, "last_name_te")
     enc = TE.oof_target_encode(enc, COMPOSITE, TARGET, "fold", cid_m, "customer_id_te")
     test_enc = TE.te_apply(train, test, "last_name", TARGET, ln_m, "last_name_te", prior)
@@ -81,7 +85,9 @@ def model_matrix(train: DataFrame, test: DataFrame, k: int = 30, ln_m: float = 2
 
 
 def load(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    return train_test(accounts(spark, sf_dir))
+    """Train/test of the accounts table, built once and checkpointed (both halves read it)."""
+    require_checkpoint_dir(spark)
+    return train_test(accounts(spark, sf_dir).checkpoint(eager=True))
 
 
 def model_a(m: Matrix, k: int, max_iter: int = 300, parallelism: int = 2):
