@@ -71,8 +71,9 @@ def main() -> None:
         m.train.count()
         times["model_matrix"] = round(time.perf_counter() - t0, 3)
         t0 = time.perf_counter()
-        model = H.boosted_hist(max_iter=int(os.environ.get("BENCH_GBT_ITERS", "100")), step=0.05,
-                               max_leaf_nodes=31, min_leaf=20).fit(m.train.where("fold != 0"))
+        est = H.boosted_hist(max_iter=int(os.environ.get("BENCH_GBT_ITERS", "100")), step=0.05,
+                             max_leaf_nodes=31, min_leaf=20)
+        model = H.fit_sized(est, m.train.where("fold != 0"))
         _force(H.score(model, m.train.where("fold = 0"), ["id", "exit_status"]))
         times["model_fit"] = round(time.perf_counter() - t0, 3)
 

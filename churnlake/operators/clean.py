@@ -11,7 +11,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from churnlake.operators.profile import iqr_bounds, numeric_columns
 from churnlake.operators.stats import quantile_table
@@ -122,6 +121,3 @@ def align_columns(df: DataFrame, columns: Sequence[str], fill=0) -> DataFrame:
     """Reorder ``df`` to ``columns``; absent columns become ``fill``; extra columns dropped."""
     present = set(df.columns)
     return df.select(*[F.col(c) if c in present else F.lit(fill).alias(c) for c in columns])
-
-
-__all__ = ["T"]

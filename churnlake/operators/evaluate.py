@@ -168,17 +168,17 @@ def threshold_curve(df: DataFrame, label: str, score: str, grid: Sequence[float]
 
 
 def best_threshold(curve: DataFrame, start_t: float = 0.5, start_f1: float = 0.0) -> DataFrame:
-    """I4: first grid point with the highest F1, replacing the start only if strictly better."""
-    top = curve.orderBy(F.desc("f1"), F.asc("grid_i")).limit(1)
+    """I4: first grid point with the highest F1, replacing the start only if strictly better.
+
+    The start row and the curve rows are ranked together (F1 desc; on a tie
+    the start wins, then the lowest grid point), and the first row is kept.
+    """
     start = curve.sparkSession.range(1).select(
-        F.lit(0).alias("__k"), F.lit(float(start_t)).alias("s_t"), F.lit(float(start_f1)).alias("s_f1")
-    )
-    j = start.join(top.withColumn("__k", F.lit(0)), "__k", "left")
-    better = F.col("f1").isNotNull() & (F.col("f1") > F.col("s_f1"))
-    return j.select(
-        F.when(better, F.col("threshold")).otherwise(F.col("s_t")).alias("best_thresh"),
-        F.when(better, F.col("f1")).otherwise(F.col("s_f1")).alias("best_f1"),
+        F.lit(float(start_t)).alias("threshold"), F.lit(float(start_f1)).alias("f1"), F.lit(-1).alias("grid_i")
     )
+    cands = curve.select("threshold", "f1", "grid_i").unionByName(start)
+    top = cands.orderBy(F.desc("f1"), F.asc("grid_i")).limit(1)
+    return top.select(F.col("threshold").alias("best_thresh"), F.col("f1").alias("best_f1"))
 
 
 def threshold_sweep_f1(df: DataFrame, label: str, score: str, grid: Sequence[float]) -> DataFrame:

@@ -20,7 +20,6 @@ import math
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import StorageLevel
 from pyspark.ml import Estimator
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
@@ -36,6 +35,27 @@ from churnlake.session import require_checkpoint_dir
 
 FEATURES = "features"
 
+# Tree/LR training runs a few short jobs per iteration; tiny partitions make
+# every one of them pay per-task overhead. Training frames are coalesced (no
+# shuffle) to about this many rows per partition, at most 2x the cluster's
+# cores and never more partitions than they already have.
+ROWS_PER_FIT_PARTITION = 25_000
+
+
+def fit_partitions(spark, n_rows: int) -> int:
+    return max(1, min(2 * spark.sparkContext.defaultParallelism, math.ceil(n_rows / ROWS_PER_FIT_PARTITION)))
+
+
+def sized_for_fit(df: DataFrame, n_rows: int | None = None) -> DataFrame:
+    """Coalesce a training frame to :func:`fit_partitions` partitions."""
+    n = df.count() if n_rows is None else n_rows
+    return df.coalesce(fit_partitions(df.sparkSession, n))
+
+
+def fit_sized(est: Estimator, df: DataFrame, n_rows: int | None = None):
+    """``est.fit`` on a partition-sized training frame."""
+    return est.fit(sized_for_fit(df, n_rows))
+
 
 def logistic_regression(n_rows: int, C: float = 1.0, max_iter: int = 1000, label: str = "label") -> Estimator:
     """H1: L2 logistic regression equivalent to C-parameterised sum-of-losses."""
@@ -105,24 +125,32 @@ def oof_scores(
     keep: Sequence[str],
     test: DataFrame | None = None,
     test_keep: Sequence[str] = ("id",),
-    parallelism: int = 4,
+    parallelism: int | None = None,
     out: str = "p",
+    fit: Callable[[Estimator, DataFrame, DataFrame], object] | None = None,
 ):
     """H16 + H17: one model per fold (``make(fold)`` gets the fold for its seed).
 
     Returns (oof, test_mean): the held-out scores of every training row, and
     the test score averaged over the k fold models (or None). Fits run from a
-    small driver thread pool so several fold jobs share the cluster.
+    driver thread pool (default min(k, 8) at once): each boosting iteration is
+    a few short Spark jobs, and concurrent fits overlap their scheduling latency.
     The input should be persisted by the caller (it is read 2k times).
+    ``fit(estimator, train_part, valid_part)`` replaces the plain ``fit`` (early stopping).
     """
 
+    n_fit = math.ceil(data.count() * (k - 1) / k)
+
     def run(f: int):
-        model = make(f).fit(data.where(F.col(fold_col) != f))
-        held = score(model, data.where(F.col(fold_col) == f), keep, out)
+        tr = sized_for_fit(data.where(F.col(fold_col) != f), n_fit)
+        va = data.where(F.col(fold_col) == f)
+        model = make(f).fit(tr) if fit is None else fit(make(f), tr, va)
+        held = score(model, va, keep, out)
         tst = score(model, test, test_keep, out) if test is not None else None
         return held, tst
 
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+    workers = parallelism if parallelism is not None else min(k, 8)
+    with ThreadPoolExecutor(max_workers=max(1, workers)) as pool:
         results = list(pool.map(run, range(k)))
     oof = _union([r[0] for r in results])
     test_mean = None
@@ -186,7 +214,7 @@ def adaboost(train: DataFrame, label: str = "label", rounds: int = 50, learning_
     require_checkpoint_dir(train.sparkSession)
     y = F.col(label).cast("double")
     n = train.count()
-    cur = train.withColumn("__w", F.lit(1.0 / max(1, n)))
+    cur = sized_for_fit(train, n).withColumn("__w", F.lit(1.0 / max(1, n)))
     stumps, alphas = [], []
     for r in range(rounds):
         stump = DecisionTreeClassifier(featuresCol=FEATURES, labelCol=label, weightCol="__w", maxDepth=1, maxBins=256, seed=seed + r).fit(cur)
@@ -216,6 +244,7 @@ def early_stopping_fit(train: DataFrame, valid: DataFrame, est: GBTClassifier, p
     """Fit up to ``maxIter`` trees, pick the best round on ``valid`` with the given
     patience (stop at the first run of ``patience`` rounds without improvement),
     refit with that many trees. Returns (model, best_iter, losses)."""
+    train = sized_for_fit(train)
     full = est.fit(train)
     losses = [x / 2.0 for x in full.evaluateEachIteration(valid)]  # logistic loss reported doubled
     best, best_i, since = float("inf"), 0, 0
@@ -239,6 +268,3 @@ def learning_curve(model, learn: DataFrame, test: DataFrame, label: str = "label
     lt = [x / 2.0 for x in model.evaluateEachIteration(test)]
     rows = [(i, a, b) for i, (a, b) in enumerate(zip(ll, lt))]
     return spark.createDataFrame(rows, "iter int, learn_logloss double, test_logloss double")
-
-
-__all__ = ["StorageLevel"]

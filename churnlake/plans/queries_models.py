@@ -35,7 +35,7 @@ def _fit_score(est_fn):
     def q(spark, sf_dir):
         m, fit_part, hold = _holdout(spark, sf_dir)
         n = fit_part.count()
-        model = est_fn(n).fit(fit_part)
+        model = H.fit_sized(est_fn(n), fit_part, n)
         return H.score(model, hold, KEEP)
 
     return q
@@ -69,7 +69,7 @@ def h12_early_stopping(spark, sf_dir):
 @register("h13_score_test", None)
 def h13_score_test(spark, sf_dir):
     m, fit_part, _ = _holdout(spark, sf_dir)
-    model = H.decision_tree(6).fit(fit_part)
+    model = H.fit_sized(H.decision_tree(6), fit_part)
     return H.score(model, m.test, ["id"])
 
 
@@ -82,7 +82,7 @@ def h16_oof_scores(spark, sf_dir):
 
 
 def _cv(est, grid, fit_part, folds=3):
-    cvdata = E.kfold(fit_part.drop("fold"), folds, seed="cv", out="cv_fold")
+    cvdata = H.sized_for_fit(E.kfold(fit_part.drop("fold"), folds, seed="cv", out="cv_fold"))
     ev = MulticlassClassificationEvaluator(metricName="fMeasureByLabel", metricLabel=1.0, labelCol="label")
     cv = CrossValidator(estimator=est, estimatorParamMaps=grid, evaluator=ev, foldCol="cv_fold", numFolds=folds, parallelism=2)
     return cv.fit(cvdata)
@@ -114,7 +114,7 @@ def h15_random_search(spark, sf_dir):
 @register("a5_learning_curve", None)
 def a5_learning_curve(spark, sf_dir):
     m, fit_part, hold = _holdout(spark, sf_dir)
-    model = H.boosted_profile("c", 20).fit(fit_part)
+    model = H.fit_sized(H.boosted_profile("c", 20), fit_part)
     return H.learning_curve(model, fit_part, hold)
 
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from churnlake.operators import profile as P
 from churnlake.plans.catalog import register
 from churnlake.sources.accounts import accounts, train_table
@@ -280,6 +278,3 @@ def b18_global_rate(spark, sf_dir):
 @register("b19_preview", "SELECT * FROM train ORDER BY id LIMIT 5")
 def b19_preview(spark, sf_dir):
     return P.preview(train_table(spark, sf_dir), 5, "id")
-
-
-__all__ = ["F"]

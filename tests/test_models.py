@@ -68,3 +68,11 @@ def test_early_stopping_and_curve(matrix):
     assert 1 <= n_trees <= 12 and len(losses) == 12
     curve = H.learning_curve(model, tr, va).collect()
     assert len(curve) == n_trees and all(r.learn_logloss > 0 for r in curve)
+
+
+def test_final_blend_with_early_stopping(matrix):
+    oof, tst = churn.final_blend(matrix, 4, max_iter=6, patience=2)
+    assert oof.count() == matrix.train.count()
+    assert set(oof.columns) >= {"id", "exit_status", "p_a", "p_b", "p_c", "p"}
+    assert tst.count() == matrix.test.count()
+    assert _auc(oof) > 0.7
