@@ -68,6 +68,12 @@ def test_early_stopping_and_curve(matrix):
     assert 1 <= n_trees <= 12 and len(losses) == 12
     curve = H.learning_curve(model, tr, va).collect()
     assert len(curve) == n_trees and all(r.learn_logloss > 0 for r in curve)
+    # the last iteration's F1 equals the F1 of the model's own predictions at 0.5
+    from churnlake.operators import evaluate as I
+
+    s = H.score(model, va, ["exit_status"]).withColumn("pred", (F.col("p") >= 0.5).cast("int"))
+    want = I.classification_metrics(s, "exit_status", "pred").first().f1
+    assert curve[-1].test_f1 == pytest.approx(want, abs=1e-12)
 
 
 def test_final_blend_with_early_stopping(matrix):
