@@ -246,10 +246,15 @@ def grouped_density(df: DataFrame, col: str, by: str, gridsize: int = 200, cut:
     stats = stats.withColumn("g0", F.col("xmin") - F.lit(cut) * F.col("bw")).withColumn(
         "gstep", (F.col("xmax") - F.col("xmin") + F.lit(2 * cut) * F.col("bw")) / F.lit(float(gridsize - 1))
     )
-    distinct_x = src.groupBy(by, x.alias("x")).agg(F.count(F.lit(1)).cast("double").alias("w"))
-    # One stats row per class; AQE broadcasts it at run time when it is small.
-    joined = distinct_x.join(stats, by).select(
-        by, "x", "w", "n", "bw", "g0", "gstep", F.explode(F.sequence(F.lit(0), F.lit(gridsize - 1))).alias("grid_i")
+    # Per-class constants (a few classes) are collected and applied as literal
+    # lookups: no join on the class key, so a dominant class cannot skew a shuffle.
+    consts = {r[by]: r for r in stats.collect() if r["bw"] is not None and r["bw"] > 0}
+    key = F.col(by)
+    cols = {name: lookup({k: float(v[name]) for k, v in consts.items()}, key) for name in ("n", "bw", "g0", "gstep")}
+    distinct_x = src.where(key.isin(list(consts))).groupBy(by, x.alias("x")).agg(F.count(F.lit(1)).cast("double").alias("w"))
+    joined = distinct_x.select(
+        by, "x", "w", *[c.alias(name) for name, c in cols.items()],
+        F.explode(F.sequence(F.lit(0), F.lit(gridsize - 1))).alias("grid_i"),
     )
     g = F.col("g0") + F.col("grid_i").cast("double") * F.col("gstep")
     z = (g - F.col("x")) / F.col("bw")
