@@ -123,3 +123,26 @@ def test_auc_equals_pairwise(spark):
     for rows_per_bin in (10_000, 50):
         got = I.roc_auc(sdf, "y", "p", rows_per_bin=rows_per_bin).first().roc_auc
         assert got == pytest.approx(want, abs=1e-12)
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.integers(min_value=1, max_value=300), st.integers(min_value=0, max_value=10_000))
+def test_order_statistics_equal_numpy_quantiles(spark, n, seed):
+    from churnlake.operators.stats import exact_quantiles
+
+    rng = np.random.default_rng(seed)
+    g = rng.integers(0, 2, n)
+    x = np.round(rng.normal(0, 10, n), 1)  # ties
+    x[rng.random(n) < 0.1] = np.nan  # nulls
+    pdf = pd.DataFrame({"g": g, "x": x, "z": np.round(rng.exponential(3, n), 2)})
+    sdf = spark.createDataFrame(pdf).selectExpr("g", "nanvl(x, null) as x", "z")
+    probs = [0.0, 0.25, 0.5, 0.75, 1.0]
+    # tiny bins and collect cap force several narrowing passes
+    got = exact_quantiles(sdf, ["x", "z"], probs, by=["g"], bins=3, max_collect=4)
+    for gv in (0, 1):
+        for c in ("x", "z"):
+            vals = pdf.loc[pdf.g == gv, c].dropna().to_numpy()
+            if len(vals) == 0:
+                continue
+            want = np.quantile(vals, probs)
+            assert np.allclose(got[((gv,), c)], want, rtol=0, atol=1e-9)
