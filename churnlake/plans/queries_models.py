@@ -132,3 +132,15 @@ def i09_experiment_sweep(spark, sf_dir):
         m.test.unpersist()
     res = spark.createDataFrame(rows, "label string, cid_m double, folds int, best_f1 double, best_thresh double, pos_rate double")
     return res.withColumn("goal_met", F.col("best_f1") > F.lit(0.66))
+
+
+@register("h18_final_blend_submission", None)
+def h18_final_blend_submission(spark, sf_dir):
+    """The final model end to end: 3 boosted members x 5 folds with early stopping,
+    0.4/0.2/0.4 blend, threshold by the 161-point sweep plus the top-22 % candidate,
+    submission table (id, exit_status)."""
+    train, test = churn.load(spark, sf_dir)
+    m = churn.model_matrix(train, test, k=5)
+    oof, tst = churn.final_blend(m, 5, max_iter=10, patience=3)
+    _, sub = churn.choose_and_submit(oof, tst, GRID_161, (0.22,))
+    return sub
