@@ -129,8 +129,10 @@ def order_statistics(df, cols: Sequence[str], ranks_for, by: Sequence[str] = (),
         for r in stats:
             key = tuple(r[k] for k in keys)
             counts[(key[:-1], key[-1])] = r["n"]
+            # A column with at most `max_collect` values goes straight to the collect pass.
+            small = r["n"] <= max_collect
             wanted[key] = {
-                k: [r["mn"], r["mx"], 0, r["mn"] if r["mn"] == r["mx"] else None, False]
+                k: [r["mn"], r["mx"], 0, r["mn"] if r["mn"] == r["mx"] else None, small]
                 for k in ranks_for(r["n"]) if 0 <= k < r["n"]
             }
         spark = df.sparkSession
