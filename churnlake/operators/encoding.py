@@ -2,27 +2,27 @@
 
 TE(key) = (n * mean + m * prior) / (n + m); an unseen key gets the prior.
 
-Out-of-fold without a loop over folds: one aggregate per (key, fold) gives
-s(key, fold) and n(key, fold); totals per key come from a window over that
-small table; the value for a row of fold f is
-(S - s_f + m * prior_f) / (N - n_f + m). One aggregate and one join replace
-k aggregates and k joins, and the same (key, fold) table serves any number
-of smoothing values.
-
-Scale: the rows are aggregated once (partial aggregate, map-side combine), so
-a key holding a third of all rows shrinks to one row per task before the
-shuffle; fold totals and per-key totals come from that small table; the join
-back is an equi join on (key, fold) whose skewed partitions AQE splits. Rows
-with a null key part never join and get the prior (pandas drops null keys in
-``groupby``). The rows are read twice (aggregate and join), so pass a
-materialised frame (the pipelines checkpoint the folded table).
+Out-of-fold without a loop over folds: one aggregate per key gives the
+totals S, N and the per-fold s_f, n_f (as k-element arrays); the value for a
+row of fold f is (S - s_f + m * prior_f) / (N - n_f + m). One aggregate and
+one join replace k aggregates and k joins, and the same aggregate serves any
+number of smoothing values.
+
+Scale: the rows are aggregated once per key (partial aggregate, map-side
+combine), so a key holding a third of all rows shrinks to one row per task
+before the shuffle; the join back on the key reuses the aggregate's
+partitioning (only the rows move), and AQE splits a skewed key's partition
+of the rows. Rows with a null key part never join and get the prior (pandas
+drops null keys in ``groupby``). The rows are read by the fold totals, the
+aggregate and the join, so pass a materialised frame (the pipelines
+checkpoint the folded table).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -89,36 +89,49 @@ def oof_target_encode(
     ``m`` may be a list (one output column per smoothing value, one aggregate).
     ``prior``: 'global' = mean target of all rows; 'fold' = mean target of the
     rows outside the row's fold (the fold's training part).
+    Folds are integers 0..k-1 (as the fold operators assign them).
+
+    Plan: fold totals are k numbers (one small aggregate, collected). The rows
+    are aggregated once per key with k per-fold counts and sums as arrays
+    (partial aggregation; a hot key collapses map-side); the join back on the
+    key reuses that aggregate's partitioning, so only the rows are shuffled
+    for it, and each row picks its own fold's entry from the arrays.
     """
     keys = _keys(keys)
     ms = [m] if isinstance(m, (int, float)) else list(m)
     outs = [out] if isinstance(out, str) else list(out)
     y = F.col(target).cast("double")
-
-    # The only pass over the rows: a partial aggregate per (key, fold), null keys included.
-    per_key_fold = df.groupBy(*keys, fold_col).agg(F.count(y).alias("__kn"), F.sum(y).alias("__ks"))
-
-    # Fold totals from that table (k rows), so the broadcast is bounded by k.
-    per_fold = per_key_fold.groupBy(fold_col).agg(F.sum("__kn").alias("__fn"), F.sum("__ks").alias("__fs"))
-    all_w = Window.partitionBy()
-    priors = per_fold.select(
-        fold_col,
-        (F.sum("__fs").over(all_w) / F.sum("__fn").over(all_w)).alias("__pg"),
-        F.try_divide(F.sum("__fs").over(all_w) - F.col("__fs"), (F.sum("__fn").over(all_w) - F.col("__fn")).cast("double")).alias("__pf"),
-    )
-    prior_col = F.col("__pg") if prior == "global" else F.coalesce(F.col("__pf"), F.col("__pg"))
-
-    by_key = Window.partitionBy(*keys)
-    stats = per_key_fold.where(_not_null(keys)).select(
-        *keys, fold_col, "__kn", "__ks",
-        F.sum("__kn").over(by_key).alias("__tn"),
-        F.sum("__ks").over(by_key).alias("__ts"),
+    fold = F.col(fold_col)
+    idx = (fold + 1).cast("int")  # 1-based array position of the row's fold
+
+    # k rows: count and sum of the target per fold.
+    per_fold = {r[0]: (r[1], r[2] or 0.0) for r in df.groupBy(fold_col).agg(F.count(y), F.sum(y)).collect()}
+    if not per_fold:
+        return df.select("*", *[F.lit(None).cast("double").alias(o) for o in outs])
+    k = max(per_fold) + 1
+    if min(per_fold) < 0 or any(not isinstance(f, int) for f in per_fold):
+        raise ValueError("fold column must hold integers 0..k-1")
+    n_all = sum(v[0] for v in per_fold.values())
+    s_all = sum(v[1] for v in per_fold.values())
+    pg = s_all / n_all if n_all else None
+    if prior == "global":
+        prior_col = F.lit(pg).cast("double")
+    else:
+        pf = []
+        for f in range(k):
+            nf, sf = per_fold.get(f, (0, 0.0))
+            pf.append((s_all - sf) / (n_all - nf) if n_all - nf > 0 else pg)
+        prior_col = F.try_element_at(F.array(*[F.lit(p).cast("double") for p in pf]), idx)
+
+    per_key = df.where(_not_null(keys)).groupBy(*keys).agg(
+        F.count(y).alias("__tn"),
+        F.sum(y).alias("__ts"),
+        F.array(*[F.count(F.when(fold == f, y)) for f in range(k)]).alias("__na"),
+        F.array(*[F.coalesce(F.sum(F.when(fold == f, y)), F.lit(0.0)) for f in range(k)]).alias("__sa"),
     )
-    joined = df.join(F.broadcast(priors), on=fold_col, how="left").join(stats, on=keys + [fold_col], how="left")
-    n_out = F.col("__tn") - F.col("__kn")
-    s_out = F.col("__ts") - F.col("__ks")
-    values = [
-        F.coalesce(smoothed(s_out, n_out, mm, prior_col), prior_col).alias(o) for mm, o in zip(ms, outs)
-    ]
-    tmp = ["__kn", "__ks", "__tn", "__ts", "__pg", "__pf"]
+    joined = df.join(per_key, on=keys, how="left")
+    n_out = F.col("__tn") - F.try_element_at(F.col("__na"), idx)
+    s_out = F.col("__ts") - F.try_element_at(F.col("__sa"), idx)
+    values = [F.coalesce(smoothed(s_out, n_out, mm, prior_col), prior_col).alias(o) for mm, o in zip(ms, outs)]
+    tmp = ["__tn", "__ts", "__na", "__sa"]
     return joined.select(*[c for c in joined.columns if c not in tmp], *values)
