@@ -40,7 +40,7 @@ def register(name: str, sql_body: str | None, rounded: tuple[str, ...] = (), dig
         if sql_body is not None:
             sql = with_accounts(sql_body, ctes)
             if rounded:
-                repl = ", ".join(f"round({c}, {digits}) AS {c}" for c in rounded)
+                repl = ", ".join(f"CAST(round({c}, {digits}) AS DOUBLE) AS {c}" for c in rounded)
                 sql = f"SELECT * REPLACE ({repl}) FROM (\n{sql}\n) AS q"
         CATALOG[name] = Entry(fn, sql, tuple(rounded), digits)
         return fn

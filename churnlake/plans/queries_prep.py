@@ -296,7 +296,7 @@ def e03_kfold5(spark, sf_dir):
 
 @register(
     "e04_fold_slice",
-    "SELECT CASE WHEN fold = 3 THEN 'valid' ELSE 'train' END AS part, count(*) AS n, sum(exit_status) AS positives "
+    "SELECT CASE WHEN fold = 3 THEN 'valid' ELSE 'train' END AS part, count(*) AS n, CAST(sum(exit_status) AS BIGINT) AS positives "
     "FROM (" + _sfold_sql("train", 10) + ") GROUP BY 1",
 )
 def e04_fold_slice(spark, sf_dir):

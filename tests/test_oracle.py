@@ -38,6 +38,17 @@ def test_query_matches_oracle(spark, duck, name):
     assert ok, msg
 
 
+_DUCK_TO_SPARK = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string", "BOOLEAN": "boolean"}
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_query_types_match_oracle(spark, duck, name):
+    spark_types = dict(E.queries()[name](spark, SF_SMALL).dtypes)
+    rel = duck.sql(SQL[name])
+    for col, t in zip(rel.columns, rel.types):
+        assert _DUCK_TO_SPARK.get(str(t), str(t)) == spark_types.get(col), (col, str(t), spark_types.get(col))
+
+
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns == ["id", "customer_id_te"]
