@@ -51,6 +51,8 @@ _MED_CTE = "med AS (SELECT " + ", ".join(f"median({c}) AS {c}" for c in IMPUTE_N
         + f" FROM {s} t, med"
         for s in ("train", "test")
     ),
+    rounded=tuple(IMPUTE_NUM),
+    digits=4,
     ctes=_MED_CTE,
 )
 def c01_impute_median_fit_train(spark, sf_dir):
@@ -68,6 +70,8 @@ _NUM_TRAIN = ["id", "customer_id", "credit_score", "age", "tenure", "acc_balance
     "c02_impute_median_all_numeric",
     "SELECT " + ", ".join(f"coalesce(t.{c}, m.{c}) AS {c}" if c in IMPUTE_NUM else f"t.{c}" for c in _NUM_TRAIN)
     + " FROM train t, (SELECT " + ", ".join(f"median({c}) AS {c}" for c in IMPUTE_NUM) + " FROM train) m",
+    rounded=tuple(IMPUTE_NUM),
+    digits=4,
 )
 def c02_impute_median_all_numeric(spark, sf_dir):
     train, _ = _tt(spark, sf_dir)
@@ -114,6 +118,8 @@ def c04_impute_mode_all(spark, sf_dir):
         + f", coalesce(t.country, {_MODE_COUNTRY}) AS country FROM {s} t, med"
         for s in ("train", "test")
     ),
+    rounded=tuple(IMPUTE_NUM),
+    digits=4,
     ctes=_MED_CTE,
 )
 def c05_impute_where_needed(spark, sf_dir):
