@@ -113,13 +113,35 @@ def _auc_one(df: DataFrame, label: str, score: str, rows_per_bin: int) -> DataFr
 
 
 def roc_auc(df: DataFrame, label: str, score: str, by: str | None = None, rows_per_bin: int = 1_000_000) -> DataFrame:
-    """Exact ROC-AUC; per group of ``by`` (a handful of models) when given."""
+    """Exact ROC-AUC; per group of ``by`` (a handful of models) when given.
+
+    Groups with at most ``rows_per_bin`` scores each are done together in one
+    pass (a window per group, each bounded by ``rows_per_bin`` rows); larger
+    groups go through the binned path one group at a time.
+    """
     if by is None:
         return _auc_one(df, label, score, rows_per_bin)
-    groups = [r[0] for r in df.select(by).distinct().orderBy(by).limit(1001).collect()]
-    if len(groups) > 1000:
+    sizes = (
+        df.where(F.col(score).isNotNull()).groupBy(by).agg(F.count(F.lit(1)).alias("n")).orderBy(by).limit(1001).collect()
+    )
+    if len(sizes) > 1000:
         raise ValueError("roc_auc(by=...) is meant for a bounded number of models")
-    parts = [_auc_one(df.where(F.col(by) == g), label, score, rows_per_bin).select(F.lit(g).alias(by), "roc_auc") for g in groups]
+    if all(r["n"] <= rows_per_bin for r in sizes):
+        y = F.col(label).cast("int")
+        ties = df.where(F.col(score).isNotNull()).groupBy(by, F.col(score).cast("double").alias("v")).agg(
+            F.sum(F.when(y == 1, 1).otherwise(0)).cast("double").alias("pos"),
+            F.sum(F.when(y == 1, 0).otherwise(1)).cast("double").alias("neg"),
+        )
+        below = Window.partitionBy(by).orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
+        c = ties.select(
+            by, "pos", "neg",
+            (F.col("pos") * (F.coalesce(F.sum("neg").over(below), F.lit(0.0)) + F.lit(0.5) * F.col("neg"))).alias("c"),
+        )
+        return c.groupBy(by).agg(F.try_divide(F.sum("c"), F.sum("pos") * F.sum("neg")).alias("roc_auc"))
+    parts = [
+        _auc_one(df.where(F.col(by) == r[by]), label, score, rows_per_bin).select(F.lit(r[by]).alias(by), "roc_auc")
+        for r in sizes
+    ]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -146,3 +146,17 @@ def test_order_statistics_equal_numpy_quantiles(spark, n, seed):
                 continue
             want = np.quantile(vals, probs)
             assert np.allclose(got[((gv,), c)], want, rtol=0, atol=1e-9)
+
+
+def test_grouped_auc_paths_agree(spark):
+    rng = np.random.default_rng(9)
+    n = 900
+    pdf = pd.DataFrame({"m": rng.choice(["a", "b", "c"], n), "y": rng.integers(0, 2, n), "p": np.round(rng.random(n), 2)})
+    sdf = spark.createDataFrame(pdf)
+    one_pass = {r.m: r.roc_auc for r in I.roc_auc(sdf, "y", "p", by="m").collect()}
+    binned = {r.m: r.roc_auc for r in I.roc_auc(sdf, "y", "p", by="m", rows_per_bin=40).collect()}
+    for m, g in pdf.groupby("m"):
+        pos, neg = g.p[g.y == 1].to_numpy(), g.p[g.y == 0].to_numpy()
+        want = ((pos[:, None] > neg[None, :]).sum() + 0.5 * (pos[:, None] == neg[None, :]).sum()) / (len(pos) * len(neg))
+        assert one_pass[m] == pytest.approx(want, abs=1e-12)
+        assert binned[m] == pytest.approx(want, abs=1e-12)
