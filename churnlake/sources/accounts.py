@@ -45,7 +45,8 @@ def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sum("l_quantity").alias("qty"),
         F.round(F.sum("l_extendedprice"), 2).alias("amt"),
     )
-    geo = nation.join(bounded_broadcast(region, _DIM_ROW_BOUND), nation.n_regionkey == region.r_regionkey)
+    # nation x region is one row per nation: its bound is checked once, then it is broadcast.
+    geo = nation.join(region, nation.n_regionkey == region.r_regionkey).select("n_nationkey", "r_name")
     cust = customer.join(bounded_broadcast(geo, _DIM_ROW_BOUND), customer.c_nationkey == geo.n_nationkey)
 
     base = orders.join(cust, orders.o_custkey == cust.c_custkey).join(

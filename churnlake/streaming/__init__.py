@@ -1,0 +1,5 @@
+"""Streaming: intentionally empty.
+
+The reference workload is batch only (no watermarks, windows over time,
+state or late data), so no streaming operators are provided.
+"""
