@@ -84,7 +84,7 @@ def h16_oof_scores(spark, sf_dir):
 def _cv(est, grid, fit_part, folds=3):
     cvdata = H.sized_for_fit(E.kfold(fit_part.drop("fold"), folds, seed="cv", out="cv_fold"))
     ev = MulticlassClassificationEvaluator(metricName="fMeasureByLabel", metricLabel=1.0, labelCol="label")
-    cv = CrossValidator(estimator=est, estimatorParamMaps=grid, evaluator=ev, foldCol="cv_fold", numFolds=folds, parallelism=2)
+    cv = CrossValidator(estimator=est, estimatorParamMaps=grid, evaluator=ev, foldCol="cv_fold", numFolds=folds, parallelism=4)
     return cv.fit(cvdata)
 
 
@@ -102,6 +102,14 @@ def h14_grid_search(spark, sf_dir):
     return _cv_table(spark, cvm, grid)
 
 
+@register("h14_grid_search_boosted", None)
+def h14_grid_search_boosted(spark, sf_dir):
+    m, fit_part, hold = _holdout(spark, sf_dir)
+    gbt = H.boosted_hist(10, 0.05, 31, 20)
+    grid = ParamGridBuilder().addGrid(gbt.maxDepth, [3, 5]).addGrid(gbt.stepSize, [0.05, 0.1]).build()
+    return _cv_table(spark, _cv(gbt, grid, fit_part), grid)
+
+
 @register("h15_random_search", None)
 def h15_random_search(spark, sf_dir):
     m, fit_part, hold = _holdout(spark, sf_dir)
