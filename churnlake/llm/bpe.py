@@ -12,20 +12,29 @@ from __future__ import annotations
 
 import heapq
 import json
-from collections.abc import Iterator
+import re
+import struct
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
+import ahocorasick
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import regex
+from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 NEVER = np.iinfo(np.int32).max
 #: Fixed value: the published pattern that splits a text into words before the merges.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-CACHED_WORDS = 300_000
-CHUNK_CHARS = 4_000_000
+# The same where all characters are below U+0250: there these are the letters, numbers and white space of Unicode.
+_L, _N, _S = "A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f", "0-9\u00b2\u00b3\u00b9\u00bc-\u00be", "\t-\r \u0085\u00a0"
+PLAIN_SPLIT = rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_L}]+| ?[{_N}]+| ?[^{_S}{_L}{_N}]+|[{_S}]+(?![^{_S}])|[{_S}]+"
+GAP = "\u0100"  # stands between words in which every byte is one character
+CACHED_WORDS, CACHED_PAIRS = 300_000, 200_000
+CHUNK_CHARS = 2_000_000
+SLICE = 512  # rows encoded at a time: bounds a task's memory
 
 
 def byte_letters() -> dict[str, int]:
@@ -65,13 +74,33 @@ def read_vocabulary(path: str) -> Vocabulary:
 
 
 def merge_exactly(ids: list[int], merges: dict) -> list[int]:
-    """Apply the lowest-ranked, leftmost merge until none is left; n log n for a word of n bytes."""
+    """Apply the lowest-ranked, leftmost merge until none is left."""
+    return _merge_long(ids, merges) if len(ids) > 64 else _merge_short(ids, merges)
+
+
+def _merge_short(ids: list[int], merges: dict) -> list[int]:
+    """By scanning all pairs for each merge: the quicker way for words of usual length."""
+    find = merges.get
+    pairs = list(map(find, zip(ids, ids[1:])))
+    while best := min(filter(None, pairs), default=None):
+        k = pairs.index(best)
+        ids[k : k + 2] = [best[1]]
+        del pairs[k]
+        if k:
+            pairs[k - 1] = find((ids[k - 1], ids[k]))
+        if k < len(pairs):
+            pairs[k] = find((ids[k], ids[k + 1]))
+    return ids
+
+
+def _merge_long(ids: list[int], merges: dict) -> list[int]:
+    """With a heap of pairs over a linked list: n log n for a word of n bytes."""
     nxt, prev = list(range(1, len(ids) + 1)), list(range(-1, len(ids) - 1))
     ids = [*ids, -1]
-    heap = [(*merges[p], k, *p) for k, p in enumerate(zip(ids, ids[1:-1])) if p in merges]
+    n = len(ids) - 1
+    heap = [(*merges[a, b], k, a, b) for k, (a, b) in enumerate(zip(ids, ids[1:n])) if (a, b) in merges]
     heap = [(rank, k, new, a, b) for rank, new, k, a, b in heap]
     heapq.heapify(heap)
-    n = len(ids) - 1
     while heap:
         _, k, new, a, b = heapq.heappop(heap)
         j = nxt[k] if ids[k] == a else n
@@ -94,9 +123,11 @@ class Encoder:
         v = vocabulary
         self.v, self.size = v, len(v.pieces)
         self.base = [v.tokens[bytes([b])] for b in range(256)]
-        self.longest: dict[bytes, int] = {}
-        for t in v.tokens:
-            self.longest[t[:2]] = max(self.longest.get(t[:2], 0), len(t))
+        self.longest = ahocorasick.Automaton()
+        for t, i in v.tokens.items():
+            self.longest.add_word(t.decode("latin-1"), i)
+        self.longest.add_word(GAP, -1)
+        self.longest.make_automaton()
         keys = np.array([a * self.size + b for a, b in v.merges], dtype=np.int64)
         ranks = np.array([r for r, _ in v.merges.values()], dtype=np.int32)
         order = np.argsort(keys)
@@ -104,7 +135,7 @@ class Encoder:
         self.right, self.left = self._spines()
         self.pairs: dict[int, bool] = {}
         self.words: dict[str, bytes] = {}
-        self.split = regex.compile(SPLIT).findall
+        self.any_split, self.plain_split, self.plain = regex.compile(SPLIT).findall, re.compile(PLAIN_SPLIT).findall, re.compile("[\0-\u024f]*").fullmatch
         self.parts = regex.compile("(" + "|".join(map(regex.escape, sorted(v.special, key=len, reverse=True))) + ")").split if v.special else lambda t: [t]
 
     def _spines(self) -> tuple[tuple, tuple]:
@@ -152,23 +183,18 @@ class Encoder:
                 ok[rows[crosses]] = False
         return ok
 
-    def propose(self, word: bytes) -> list[int]:
-        """Greedy longest match."""
-        tokens, longest, out, at, n = self.v.tokens, self.longest, [], 0, len(word)
-        while at < n:
-            end = min(n, at + longest.get(word[at : at + 2], 1))
-            while (t := tokens.get(word[at:end])) is None:
-                end -= 1
-            out.append(t)
-            at = end
-        return out
+    def propose(self, words: list[bytes]) -> tuple[list[int], list[int]]:
+        """Greedy longest match of all words in one pass: the tokens, and how many each word has."""
+        joined = GAP.join(w.decode("latin-1") for w in words)
+        ids = [t for _, t in self.longest.iter_long(joined)]
+        sizes = np.diff(np.flatnonzero(np.array([*[-1], *ids, -1]) < 0)) - 1
+        return [t for t in ids if t >= 0], sizes.tolist()
 
     def learn(self, words: list[str]) -> None:
         """Encode new words: propose, check every adjacent pair, merge exactly where one fails."""
         raw = [w.encode() for w in words]
-        proposed = [self.propose(w) for w in raw]
-        sizes = np.array([len(p) for p in proposed])
-        flat = np.fromiter((t for p in proposed for t in p), dtype=np.int64, count=int(sizes.sum()))
+        flat, sizes = self.propose(raw)
+        flat, sizes = np.array(flat, dtype=np.int64), np.array(sizes)
         ends = np.cumsum(sizes)
         inner = np.ones(len(flat) - 1, dtype=bool)
         inner[ends[:-1] - 1] = False
@@ -180,14 +206,20 @@ class Encoder:
         good = np.array([bool(x) for x in known], dtype=bool)
         if len(new):
             good[new] = self.compatible(unique[new] // self.size, unique[new] % self.size)
-            if len(self.pairs) > 10 * CACHED_WORDS:
+            if len(self.pairs) > CACHED_PAIRS:
                 self.pairs.clear()
             self.pairs.update(zip(unique[new].tolist(), good[new].tolist()))
-        failed = np.unique(owner[~good[where]]) if len(pair) else []
-        for k in failed:
-            proposed[k] = merge_exactly([self.base[c] for c in raw[k]], self.v.merges)
-        for w, p in zip(words, proposed):
-            self.words[w] = np.array(p, dtype="<u4").tobytes()
+        packed = flat.astype("<u4").tobytes()
+        ends = (4 * ends).tolist()
+        self.words.update((w, packed[a:b]) for w, a, b in zip(words, [0, *ends], ends))
+        base = self.base
+        for k in np.unique(owner[~good[where]]).tolist() if len(pair) else []:
+            ids = merge_exactly([base[c] for c in raw[k]], self.v.merges)
+            self.words[words[k]] = struct.pack(f"<{len(ids)}I", *ids)
+
+    def split(self, text: str) -> list[str]:
+        """The words that are merged each for itself; texts of Latin letters take the quicker pattern."""
+        return self.plain_split(text) if self.plain(text) else self.any_split(text)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Each text's ids as little-endian unsigned 32-bit integers."""
@@ -208,6 +240,38 @@ class Encoder:
         return out
 
 
+def _mapped(df: DataFrame, source: str, added: dict[str, T.DataType], start: Callable[[], Callable[[list], list[list]]]) -> DataFrame:
+    """``df`` with new columns (replacing any of their names), computed slice by slice from the values of one column."""
+    kept = [c for c in df.columns if c not in added]
+    schema = T.StructType([*df.select(*kept).schema.fields, *(T.StructField(c, t) for c, t in added.items())])
+    types = [pa.binary() if isinstance(t, T.BinaryType) else pa.string() for t in added.values()]
+    place = kept.index(source) if source in kept else None
+    names = [*kept, *added]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        work = start()
+        for b in batches:
+            for at in range(0, b.num_rows, SLICE):
+                part = b.slice(at, SLICE)
+                made = work(part.column(len(kept) if place is None else place).to_pylist())
+                yield pa.RecordBatch.from_arrays([*(part.column(k) for k in range(len(kept))), *(pa.array(v, t) for v, t in zip(made, types))], names=names)
+
+    return df.select(*kept, *([] if source in kept else [source])).mapInArrow(run, schema)
+
+
+def _encoder(sent: Broadcast) -> Encoder:
+    held = sent.value  # a Python worker keeps it from task to task, and the encoder with it
+    if "encoder" not in held:
+        held["encoder"] = Encoder(Vocabulary(**held))
+    return held["encoder"]
+
+
+def text_of(packed: bytes | None, pieces: list[bytes]) -> str:
+    """The text of packed ids; ids outside the vocabulary have none, bytes that are no UTF-8 become U+FFFD."""
+    ids, n = np.frombuffer(packed or b"", dtype="<u4"), len(pieces)
+    return b"".join(map(pieces.__getitem__, ids[ids < n].tolist())).decode("utf-8", "replace")
+
+
 def encode(docs: DataFrame, vocabulary_path: str, text_col: str = "text", ids_col: str = "token_ids") -> DataFrame:
     """``docs`` with ``ids_col``: the whole text's token ids as packed little-endian unsigned 32-bit integers.
 
@@ -216,29 +280,37 @@ def encode(docs: DataFrame, vocabulary_path: str, text_col: str = "text", ids_co
     """
     sent = docs.sparkSession.sparkContext.broadcast(vars(read_vocabulary(vocabulary_path)))
 
-    @F.pandas_udf("binary")
-    def ids(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        held = sent.value  # a Python worker keeps it from task to task, and the encoder with it
-        if "encoder" not in held:
-            held["encoder"] = Encoder(Vocabulary(**held))
-        encoder = held["encoder"]
-        for t in texts:
-            yield pd.Series(encoder.encode([x or "" for x in t]), dtype=object)
+    def start():
+        encoder = _encoder(sent)
+        return lambda texts: [encoder.encode([t or "" for t in texts])]
 
-    return docs.withColumn(ids_col, ids(F.col(text_col)))
+    return _mapped(docs, text_col, {ids_col: T.BinaryType()}, start)
 
 
 def decode(tokens: DataFrame, vocabulary_path: str, ids_col: str = "token_ids", out_col: str = "decoded") -> DataFrame:
-    """``tokens`` with ``out_col``: the text of packed ids, special tokens included; null ids give empty text.
+    """``tokens`` with ``out_col``: the text of packed ids, special tokens included; null ids give empty text."""
+    sent = tokens.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary_path).pieces)
+
+    def start():
+        return lambda packed: [[text_of(x, sent.value) for x in packed]]
+
+    return _mapped(tokens, ids_col, {out_col: T.StringType()}, start)
 
-    Ids outside the vocabulary have no text. Bytes that are no UTF-8 become U+FFFD.
+
+def round_trip(docs: DataFrame, vocabulary_path: str, text_col: str = "text", ids_col: str = "token_ids", out_col: str = "decoded") -> DataFrame:
+    """``docs`` with ``ids_col`` as ``encode`` gives it and ``out_col``, what ``decode`` makes of the ids, in one pass.
+
+    ``out_col`` may be ``text_col``: the text is then replaced by the decoded one.
     """
-    pieces = tokens.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary_path).pieces)
+    sent = docs.sparkSession.sparkContext.broadcast(vars(read_vocabulary(vocabulary_path)))
+
+    def start():
+        encoder = _encoder(sent)
+
+        def work(texts: list) -> list[list]:
+            ids = encoder.encode([t or "" for t in texts])
+            return [ids, [text_of(x, encoder.v.pieces) for x in ids]]
 
-    @F.pandas_udf("string")
-    def text(packed: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        known = dict(enumerate(pieces.value))
-        for p in packed:
-            yield pd.Series([b"".join([known.get(i, b"") for i in np.frombuffer(x or b"", dtype="<u4").tolist()]).decode("utf-8", "replace") for x in p], dtype=object)
+        return work
 
-    return tokens.withColumn(out_col, text(F.col(ids_col)))
+    return _mapped(docs, text_col, {ids_col: T.BinaryType(), out_col: T.StringType()}, start)

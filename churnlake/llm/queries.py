@@ -33,8 +33,7 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), VOCABULARY).drop("text")
-    decoded = bpe.decode(encoded, VOCABULARY)
+    decoded = bpe.round_trip(table(spark, sf_dir, "documents").select("doc_id", "text"), VOCABULARY, out_col="text").withColumnRenamed("text", "decoded")
     return decoded.select(
         "doc_id",
         (F.octet_length("token_ids") / 4).cast("long").alias("n_tokens"),

@@ -36,8 +36,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every row (packed unsigned 32-bit integers); text is what the ids decode to."""
-    encoded = bpe.encode(docs, VOCABULARY).drop("text")
-    decoded = bpe.decode(encoded, VOCABULARY, out_col="text").withColumn("n_tokens", (F.octet_length("token_ids") / 4).cast("long"))
+    decoded = bpe.round_trip(docs, VOCABULARY, out_col="text").withColumn("n_tokens", (F.octet_length("token_ids") / 4).cast("long"))
     return decoded.select("doc_id", "text", "lang", "source", "n_chars", "n_tokens", "token_ids")
 
 
