@@ -25,6 +25,8 @@ from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from churnlake.llm.common import text_batches
+
 NEVER = np.iinfo(np.int32).max
 #: Fixed value: the published pattern that splits a text into words before the merges.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -32,9 +34,8 @@ SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 _L, _N, _S = "A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f", "0-9\u00b2\u00b3\u00b9\u00bc-\u00be", "\t-\r \u0085\u00a0"
 PLAIN_SPLIT = rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_L}]+| ?[{_N}]+| ?[^{_S}{_L}{_N}]+|[{_S}]+(?![^{_S}])|[{_S}]+"
 GAP = "\u0100"  # stands between words in which every byte is one character
-CACHED_WORDS, CACHED_PAIRS = 300_000, 200_000
-CHUNK_CHARS = 2_000_000
-SLICE = 512  # rows encoded at a time: bounds a task's memory
+CACHED_WORDS, CACHED_PAIRS = 100_000, 100_000
+CHUNK_CHARS = 1_000_000
 
 
 def byte_letters() -> dict[str, int]:
@@ -251,11 +252,10 @@ def _mapped(df: DataFrame, source: str, added: dict[str, T.DataType], start: Cal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = start()
         for b in batches:
-            for at in range(0, b.num_rows, SLICE):
-                part = b.slice(at, SLICE)
-                made = work(part.column(len(kept) if place is None else place).to_pylist())
-                yield pa.RecordBatch.from_arrays([*(part.column(k) for k in range(len(kept))), *(pa.array(v, t) for v, t in zip(made, types))], names=names)
+            made = work(b.column(len(kept) if place is None else place).to_pylist())
+            yield pa.RecordBatch.from_arrays([*(b.column(k) for k in range(len(kept))), *(pa.array(v, t) for v, t in zip(made, types))], names=names)
 
+    text_batches(df.sparkSession)
     return df.select(*kept, *([] if source in kept else [source])).mapInArrow(run, schema)
 
 

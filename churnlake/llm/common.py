@@ -40,6 +40,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def text_batches(spark: SparkSession, rows: int = 500) -> None:
+    """Hand at most ``rows`` rows at a time to Python: texts are wide, and Spark's 10,000 rows would fill a task's memory.
+
+    A runtime setting of the session, only ever lowered here.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(key))
+    if now <= 0 or now > rows:
+        spark.conf.set(key, str(rows))
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """Evaluate ``value`` once per row and hand it to ``body`` (a one-element ``transform``)."""
     return F.get(F.transform(F.array(value), body), F.lit(0))

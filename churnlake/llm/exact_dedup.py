@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from churnlake.llm.common import batch, shared_folder, stage
+from churnlake.llm.common import batch, shared_folder, stage, text_batches
 
 HASHES = 3
 SLICE_BITS = 16  # counters per row of the merged filter: 2 ** SLICE_BITS
@@ -105,17 +105,31 @@ def _test(filter_bits: Broadcast):
     return maybe
 
 
+def _digest_and_test(filter_bits: Broadcast):
+    @F.pandas_udf("sha binary, maybe boolean")
+    def both(text: pd.Series) -> pd.DataFrame:
+        shas = [digest((x or "").encode()) for x in text]
+        words = np.frombuffer(b"".join(s[:8] for s in shas), dtype=">i8").astype(np.int64)
+        return pd.DataFrame({"sha": pd.Series(shas, dtype=object), "maybe": hit_twice(filter_bits.value, words)})
+
+    return both
+
+
 def with_digest(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` with ``_xd_sha`` (SHA-256 of the normalised text) and ``_xd_h`` (its first eight bytes)."""
+    text_batches(docs.sparkSession)
     docs = docs.withColumn("_xd_sha", sha_of(F.col(text_col)))
     return docs.withColumn("_xd_h", F.conv(F.hex(F.substring("_xd_sha", 1, 8)), 16, -10).cast("long"))
 
 
-def flagged(digested: DataFrame, bits_per_row: int, max_filter_bits: int) -> DataFrame:
-    """``digested`` with ``_xd_maybe``: whether the Bloom counters allow a second copy of the row's text."""
-    rows = digested.select("_xd_h").count()
+def filter_shape(rows: int, bits_per_row: int, max_filter_bits: int) -> tuple[int, int]:
+    """How many shards, and how many counters (a power of two) each shard's filter has."""
     shards = max(1, -(-rows * bits_per_row // max_filter_bits))
-    bits = 1 << max(SLICE_BITS, int(-(-rows // shards) * bits_per_row - 1).bit_length())
+    return shards, 1 << max(SLICE_BITS, int(-(-rows // shards) * bits_per_row - 1).bit_length())
+
+
+def flagged(digested: DataFrame, shards: int, bits: int) -> DataFrame:
+    """``digested`` with ``_xd_maybe``: whether the Bloom counters allow a second copy of the row's text."""
     if shards > 1:  # one write without a shuffle; each pass then reads its own shard only
         # The counters are picked by the low bits of the digest word, the shard by its high bits.
         path = f"{shared_folder(digested.sparkSession)}/llm-shards-{uuid.uuid4().hex}"
@@ -137,7 +151,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     light = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     light = stage(with_digest(light).drop("text"), "digests")  # the texts are read once; later passes read 48 bytes a row
-    light = stage(flagged(light, bits_per_row, max_filter_bits).select("id", F.col("_xd_sha").alias("sha"), "_xd_maybe"), "flags")
+    light = stage(flagged(light, *filter_shape(light.count(), bits_per_row, max_filter_bits)).select("id", F.col("_xd_sha").alias("sha"), "_xd_maybe"), "flags")
     sha = F.lower(F.hex("sha")).alias("text_sha256")
     alone = light.where(~F.col("_xd_maybe")).select(F.col("id").alias(id_col), F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), sha)
     rows = stage(light.where("_xd_maybe").groupBy("sha", "id").agg(F.count(F.lit(1)).alias("n")), "repeats")
@@ -154,7 +168,14 @@ def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     (digest, id) with the one row of each group that stays; that key is never hot, as
     the group's copies differ in their id.
     """
-    marked = flagged(with_digest(docs, text_col), bits_per_row, max_filter_bits)
+    digests = stage(with_digest(docs.select(text_col), text_col).select("_xd_h"), "digests")
+    shards, bits = filter_shape(digests.count(), bits_per_row, max_filter_bits)
+    if shards > 1:
+        marked = flagged(with_digest(docs, text_col), shards, bits).drop("_xd_h")
+    else:
+        # Digest and test in one function, so that a task needs one Python worker only.
+        marked = docs.withColumn("_xd", _digest_and_test(bloom_filter(digests, bits))(F.col(text_col)))
+        marked = marked.select(*docs.columns, F.col("_xd.sha").alias("_xd_sha"), F.col("_xd.maybe").alias("_xd_maybe"))
     alone, maybe = marked.where(~F.col("_xd_maybe")), marked.where("_xd_maybe")
     stays = stage(maybe.groupBy("_xd_sha").agg(F.max(id_col).alias("_xd_id")), "stays").withColumnRenamed("_xd_sha", "_xd_key")
     chosen = maybe.join(stays, (F.col("_xd_sha") == F.col("_xd_key")) & F.col(id_col).eqNullSafe(F.col("_xd_id")))

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from churnlake.llm.boosting import fit_boosted_trees, predict
-from churnlake.llm.common import md5_unit
+from churnlake.llm.common import md5_unit, text_batches
 
 # HTML element names by kind, and attribute tokens by what they commonly name.
 BLOCK = frozenset("html body article section main aside nav header footer div p ul ol li dl dt dd table thead tbody tfoot tr td th caption h1 h2 h3 h4 h5 h6 hgroup blockquote pre figure figcaption form fieldset legend details summary address center hr dialog menu search label select option button".split())
@@ -347,14 +347,13 @@ def extract(pages: DataFrame, model: dict[str, np.ndarray], id_col: str = "page_
 
     Null and empty pages have an empty text; a page that is all boilerplate too. Other columns are not read.
     """
+    text_batches(pages.sparkSession)
     sent = pages.sparkSession.sparkContext.broadcast(model)  # trees * (2 ** depth) numbers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for at in range(0, b.num_rows, 500):
-                part = b.slice(at, 500)
-                texts = extract_batch(sent.value, [s or "" for s in part.column(2).to_pylist()])
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(texts, pa.string())], names=["id", "url", "text"])
+            texts = extract_batch(sent.value, [s or "" for s in b.column(2).to_pylist()])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string())], names=["id", "url", "text"])
 
     kinds = [pages.schema[c].dataType.simpleString() for c in (id_col, url_col)]
     out = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html")).mapInArrow(run, f"id {kinds[0]}, url {kinds[1]}, text string")

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from churnlake.llm.common import stage
+from churnlake.llm.common import stage, text_batches
 
 BUCKETS = 1 << 16
 TEMPER = 0.2
@@ -41,15 +41,15 @@ def trigrams(text: str) -> np.ndarray:
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(lang, bucket, n) per batch."""
+    """(lang, bucket, n) per task: at most languages * BUCKETS rows."""
+    sums: dict[str, np.ndarray] = {}
     for b in batches:
-        sums: dict[str, np.ndarray] = {}
         for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
             sums.setdefault(lang, np.zeros(BUCKETS, np.int64))
             sums[lang] += np.bincount(trigrams(text or ""), minlength=BUCKETS)
-        for lang, s in sums.items():
-            at = np.flatnonzero(s)
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at.astype(np.int32)), pa.array(s[at])], names=["lang", "bucket", "n"])
+    for lang, s in sums.items():
+        at = np.flatnonzero(s)
+        yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at.astype(np.int32)), pa.array(s[at])], names=["lang", "bucket", "n"])
 
 
 def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> tuple[list[str], np.ndarray]:
@@ -96,6 +96,7 @@ def identify(pages: DataFrame, docs: DataFrame, id_col: str = "page_id", url_col
     known languages is one class, 'other'. Ties go to the first language by code point. Repeated rows are
     judged alike. Without labelled documents lang is null. Other columns are not read.
     """
+    text_batches(pages.sparkSession)
     langs, table = fit(docs)
     rows = log_likelihoods(pages, table, id_col, url_col, html_col)
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1))

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from churnlake.llm.common import held_out, md5_unit, stage
+from churnlake.llm.common import held_out, md5_unit, stage, text_batches
 
 FEATURES = ["log_words", "few_words", "symbols", "bars", "exclaims", "capitals", "digits", "punctuation", "letters", "word_length", "long_words", "distinct_words", "repeated_words", "repeated_lines", "lines", "repeated_trigrams"]
 
@@ -94,6 +94,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, folds: int = 4, fold: in
     score, moved so that the quantile gets ``threshold``. Null and empty texts are scored like any other, by their
     features; ties score alike; labels other than 0 and 1 are ignored; without labels of both classes all score ``threshold``.
     """
+    text_batches(docs.sparkSession)
     known = labels.where(~held_out(F.col(id_col), folds, fold) & F.col(label_col).isin(0, 1)).select(F.col(id_col).alias("id"), F.col(label_col).alias("label"))
     rows = stage(docs.select(F.col(id_col).alias("id"), features_of(F.col(text_col)).alias("x")), "features")
     picked = [known.where(F.col("label") == c).distinct().orderBy(md5_unit("quality:", F.col("id")), "id").limit(max_per_class) for c in (0, 1)]

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnlake.llm.common import long_literal, stage, utf8
+from churnlake.llm.common import long_literal, stage, text_batches, utf8
 
 RADIUS = 3
 SEED = 42
@@ -57,6 +57,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             fps = np.array([fingerprint(x, shingle) for x in utf8(b.column(1))], dtype=np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps)], names=["id", "fp"])
 
+    text_batches(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, fp long")
 

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnlake.llm.common import held_out, md5_unit, stage
+from churnlake.llm.common import held_out, md5_unit, stage, text_batches
 
 SENTENCE_END = re.compile(r"[.!?\n]+")
 TOKEN = re.compile(r"\w+")
@@ -119,6 +119,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     Labels other than 0 and 1 and null ids are ignored; without labelled documents the model scores everything 0.
     """
+    text_batches(docs.sparkSession)
     picked = [labels.where(F.col(label_col) == c).select(F.col(id_col).alias("_tx_id"), F.lit(c).alias("label")).distinct().orderBy(md5_unit("toxic:", F.col("_tx_id")), "_tx_id").limit(most) for c, most in ((0, max_clean), (1, max_toxic))]
     picked = F.broadcast(stage(picked[0].unionAll(picked[1]), "picked"))  # at most max_clean + max_toxic ids
     sample = stage(docs.join(picked, F.col(id_col) == F.col("_tx_id")).select("label", F.col(text_col).alias("text")), "sample")
@@ -142,6 +143,7 @@ def score(docs: DataFrame, model: ToxicityModel, text_col: str = "text") -> Data
 
     Null and empty texts have no sentence and score 0. All columns pass through.
     """
+    text_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(vars(model))  # max_features weights
 
     @F.pandas_udf("score double, n_sentences int, worst int")
@@ -154,6 +156,7 @@ def score(docs: DataFrame, model: ToxicityModel, text_col: str = "text") -> Data
 
 def offending_sentences(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text", least: float = 0.5) -> DataFrame:
     """One row per sentence whose probability is ``least`` or more: id, sentence (its place), begin, end (characters), probability."""
+    text_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(vars(model))
     kind = docs.schema[id_col].dataType.simpleString()
 
