@@ -11,11 +11,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from churnlake.session import materialised
 
 
 def overlapping_keys(train: DataFrame, test: DataFrame, key: str) -> DataFrame:
-    """Distinct keys present in both frames."""
-    return train.select(key).intersect(test.select(key))
+    """Distinct keys present in both frames (each side is de-duplicated first: a hot key joins as one row)."""
+    keys = train.select(key).distinct()
+    return keys.join(test.select(key).distinct(), keys[key].eqNullSafe(test[key]), "left_semi")
 
 
 def key_intersection_count(train: DataFrame, test: DataFrame, key: str) -> DataFrame:
@@ -30,7 +32,7 @@ def key_coverage(train: DataFrame, test: DataFrame, key: str) -> DataFrame:
     aggregate; the distinct keys are a partial aggregate, so a hot key
     collapses before the shuffle.
     """
-    keys = train.select(key).distinct().withColumn("__hit", F.lit(1))
+    keys = materialised(train.select(key).distinct().withColumn("__hit", F.lit(1)))
     j = test.select(key).join(keys, on=key, how="left")
     return j.agg(F.count(F.lit(1)).alias("n_test"), F.count("__hit").alias("n_covered")).select(
         "n_test", "n_covered", F.try_divide(F.lit(100.0) * F.col("n_covered"), F.col("n_test").cast("double")).alias("pct_covered")
@@ -53,9 +55,10 @@ def identity_match_audit(
     keys = overlapping_keys(train, test, key)
     if limit_keys is not None:
         keys = keys.orderBy(key).limit(limit_keys)
+    keys = materialised(keys)
     match_on = [key, *attrs]
     scope = test.select(*match_on).join(keys, on=key, how="left_semi")
-    identities = train.select(*match_on).dropDuplicates().withColumn("__hit", F.lit(1))
+    identities = materialised(train.select(*match_on).dropDuplicates().withColumn("__hit", F.lit(1)))
     j = scope.join(identities, on=match_on, how="left")
     return j.agg(F.count(F.lit(1)).alias("n_total"), F.count("__hit").alias("n_matched")).select(
         "n_total",

@@ -25,12 +25,18 @@ def fit_medians(train: DataFrame, cols: Sequence[str], method: str | None = None
 
 
 def fill_constants(df: DataFrame, values: dict[str, object]) -> DataFrame:
-    """``coalesce(col, constant)`` for each column; the column type is kept."""
+    """``coalesce(col, constant)`` for each column.
+
+    The column type is kept, but an integer column filled with a fractional number becomes double.
+    """
     types = dict(df.dtypes)
     out = []
     for c in df.columns:
         if c in values and values[c] is not None:
-            out.append(F.coalesce(F.col(c), F.lit(values[c]).cast(types[c])).alias(c))
+            v, kind = values[c], types[c]
+            if kind in ("tinyint", "smallint", "int", "bigint") and isinstance(v, float) and not v.is_integer():
+                kind = "double"
+            out.append(F.coalesce(F.col(c).cast(kind), F.lit(v).cast(kind)).alias(c))
         else:
             out.append(F.col(c))
     return df.select(*out)

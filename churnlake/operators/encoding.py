@@ -3,16 +3,16 @@
 TE(key) = (n * mean + m * prior) / (n + m); an unseen key gets the prior.
 
 Out-of-fold without a loop over folds: one aggregate per key gives the
-totals S, N and the per-fold s_f, n_f (as k-element arrays); the value for a
+totals S, N and the s_f, n_f of the folds in which the key occurs (as a map); the value for a
 row of fold f is (S - s_f + m * prior_f) / (N - n_f + m). One aggregate and
 one join replace k aggregates and k joins, and the same aggregate serves any
 number of smoothing values.
 
 Scale: the rows are aggregated once per key (partial aggregate, map-side
 combine), so a key holding a third of all rows shrinks to one row per task
-before the shuffle; the join back on the key reuses the aggregate's
-partitioning (only the rows move), and AQE splits a skewed key's partition
-of the rows. Rows with a null key part never join and get the prior (pandas
+before the shuffle. The statistics are written before the join back on the
+key: the join's inputs are then two plain shuffles, and AQE splits the
+partition of a hot key or of null keys. Rows with a null key part never join and get the prior (pandas
 drops null keys in ``groupby``). The rows are read by the fold totals, the
 aggregate and the join, so pass a materialised frame (the pipelines
 checkpoint the folded table).
@@ -25,6 +25,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from churnlake.session import materialised
+
 
 def _keys(keys: str | Sequence[str]) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
@@ -66,7 +68,7 @@ def te_apply(train: DataFrame, df: DataFrame, keys: str | Sequence[str], target:
     """stats from all of ``train``, looked up on ``df``; missing -> prior."""
     keys = _keys(keys)
     prior = global_prior(train, target) if prior is None else prior
-    st = te_stats(train, keys, target, m, prior).select(*keys, F.col("te").alias("__te"))
+    st = materialised(te_stats(train, keys, target, m, prior).select(*keys, F.col("te").alias("__te")))
     return df.join(st, on=keys, how="left").withColumn(out, F.coalesce(F.col("__te"), F.lit(prior))).drop("__te")
 
 
@@ -92,10 +94,10 @@ def oof_target_encode(
     Folds are integers 0..k-1 (as the fold operators assign them).
 
     Plan: fold totals are k numbers (one small aggregate, collected). The rows
-    are aggregated once per key with k per-fold counts and sums as arrays
-    (partial aggregation; a hot key collapses map-side); the join back on the
-    key reuses that aggregate's partitioning, so only the rows are shuffled
-    for it, and each row picks its own fold's entry from the arrays.
+    are aggregated by (key, fold), then by key with a map of the folds that
+    occur (partial aggregation; a hot key collapses map-side, a rare key carries
+    no empty folds). The statistics are written before the join, and each
+    row takes its own fold's entry from the map.
     """
     keys = _keys(keys)
     ms = [m] if isinstance(m, (int, float)) else list(m)
@@ -123,15 +125,15 @@ def oof_target_encode(
             pf.append((s_all - sf) / (n_all - nf) if n_all - nf > 0 else pg)
         prior_col = F.try_element_at(F.array(*[F.lit(p).cast("double") for p in pf]), idx)
 
-    per_key = df.where(_not_null(keys)).groupBy(*keys).agg(
-        F.count(y).alias("__tn"),
-        F.sum(y).alias("__ts"),
-        F.array(*[F.count(F.when(fold == f, y)) for f in range(k)]).alias("__na"),
-        F.array(*[F.coalesce(F.sum(F.when(fold == f, y)), F.lit(0.0)) for f in range(k)]).alias("__sa"),
+    by_fold = df.where(_not_null(keys)).groupBy(*keys, fold.cast("int").alias("__k")).agg(F.count(y).alias("__n"), F.coalesce(F.sum(y), F.lit(0.0)).alias("__s"))
+    per_key = by_fold.groupBy(*keys).agg(
+        F.sum("__n").alias("__tn"),
+        F.sum("__s").alias("__ts"),
+        F.map_from_entries(F.collect_list(F.struct("__k", F.struct("__n", "__s")))).alias("__own"),
     )
-    joined = df.join(per_key, on=keys, how="left")
-    n_out = F.col("__tn") - F.try_element_at(F.col("__na"), idx)
-    s_out = F.col("__ts") - F.try_element_at(F.col("__sa"), idx)
+    joined = df.join(materialised(per_key), on=keys, how="left").withColumn("__own", F.try_element_at("__own", fold.cast("int")))
+    n_out = F.col("__tn") - F.coalesce(F.col("__own.__n"), F.lit(0))
+    s_out = F.col("__ts") - F.coalesce(F.col("__own.__s"), F.lit(0.0))
     values = [F.coalesce(smoothed(s_out, n_out, mm, prior_col), prior_col).alias(o) for mm, o in zip(ms, outs)]
-    tmp = ["__tn", "__ts", "__na", "__sa"]
+    tmp = ["__tn", "__ts", "__own"]
     return joined.select(*[c for c in joined.columns if c not in tmp], *values)

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnlake.functions.hashing import FOLD_SEED, hash32
+from churnlake.operators.joins import bounded_broadcast
 
 DEFAULT_BITS = 16
 
@@ -24,10 +25,10 @@ def rank_in_class(df: DataFrame, label: str, id_col: str = "id", seed: str = FOL
                   bits: int = DEFAULT_BITS, out: str = "rank_in_class") -> DataFrame:
     """1-based rank of each row inside its class, ordered by (hash(seed, id), id).
 
-    One shuffle of the rows on (class, bucket): the window numbers rows inside
-    each bucket, and the bucket sizes are counted from the same partitions
-    (the exchange is reused), so the source is read once.
+    The rows are shuffled on (class, bucket) and numbered by a window inside each bucket; the bucket
+    sizes come from a second, narrow read of id and label. A null label is an error.
     """
+    df = df.withColumn(label, F.when(F.col(label).isNull(), F.raise_error(F.lit(f"null in label column {label}"))).otherwise(F.col(label)))
     h = "__h"
     b = "__b"
     with_h = df.withColumn(h, hash32(id_col, seed)).withColumn(b, F.shiftright(F.col(h), 32 - bits))
@@ -36,9 +37,8 @@ def rank_in_class(df: DataFrame, label: str, id_col: str = "id", seed: str = FOL
     counts = ranked.groupBy(label, b).agg(F.max("__rn").alias("__cnt"))
     before = Window.partitionBy(label).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(label, b, F.coalesce(F.sum("__cnt").over(before), F.lit(0)).alias("__off"))
-    # Offsets: at most n_classes x 2^bits rows (bounded by construction) -> broadcast.
-    joined = ranked.join(F.broadcast(offsets), on=[label, b], how="left")
-    # Labels must be non-null: a null class never equals itself in the join.
+    # n_classes x 2^bits rows: small unless the label has very many classes; AQE broadcasts them then.
+    joined = ranked.join(offsets, on=[label, b], how="left")
     return joined.withColumn(out, (F.coalesce(F.col("__off"), F.lit(0)) + F.col("__rn")).cast("bigint")).drop(
         h, b, "__rn", "__off"
     )
@@ -56,8 +56,7 @@ def stratified_holdout(df: DataFrame, label: str, frac: float = 0.2, id_col: str
     """The first ceil(frac * n_class) rows of each class (hash order) are the holdout."""
     r = rank_in_class(df, label, id_col, seed, bits, out="__rank")
     n_class = r.groupBy(label).agg(F.count(F.lit(1)).alias("__n"))
-    # One row per class label.
-    r = r.join(F.broadcast(n_class), on=label, how="left")
+    r = r.join(bounded_broadcast(n_class, 10_000), on=label, how="left")
     return r.withColumn(out, (F.col("__rank") <= F.ceil(F.col("__n") * F.lit(frac))).cast("int")).drop("__rank", "__n")
 
 

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from churnlake.session import materialised
+
 
 def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     """Broadcast ``df`` only if it provably has at most ``max_rows`` rows.
@@ -32,12 +34,12 @@ def lookup_join_default(
 
     ``table`` must be unique on ``keys``. Rows whose key has a null part never
     match (SQL equality), so they get the default, as a pandas lookup does.
-    The join strategy is left to Catalyst/AQE (broadcast when the table is
-    small at run time, sort-merge otherwise, skew splitting when enabled).
+    The table is written before the join, so that the join's inputs are plain
+    shuffles: AQE broadcasts a small table, and splits a hot or null key of ``df`` otherwise.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     out = out or value
     default_col = default if isinstance(default, Column) else F.lit(float(default))
-    joined = df.join(table.select(*keys, F.col(value).alias("__lookup_v")), on=keys, how="left")
+    joined = df.join(materialised(table.select(*keys, F.col(value).alias("__lookup_v"))), on=keys, how="left")
     return joined.withColumn(out, F.coalesce(F.col("__lookup_v"), default_col)).drop("__lookup_v")
 

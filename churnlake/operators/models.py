@@ -20,9 +20,11 @@ import math
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import SparkContext
 from pyspark.ml import Estimator
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
+    GBTClassificationModel,
     GBTClassifier,
     LogisticRegression,
     RandomForestClassifier,
@@ -37,13 +39,13 @@ FEATURES = "features"
 
 # Tree/LR training runs a few short jobs per iteration; tiny partitions make
 # every one of them pay per-task overhead. Training frames are coalesced (no
-# shuffle) to about this many rows per partition, at most 2x the cluster's
-# cores and never more partitions than they already have.
+# shuffle) to about this many rows per partition, never to more partitions
+# than they already have.
 ROWS_PER_FIT_PARTITION = 25_000
 
 
 def fit_partitions(spark, n_rows: int) -> int:
-    return max(1, min(2 * spark.sparkContext.defaultParallelism, math.ceil(n_rows / ROWS_PER_FIT_PARTITION)))
+    return max(1, math.ceil(n_rows / ROWS_PER_FIT_PARTITION))
 
 
 def sized_for_fit(df: DataFrame, n_rows: int | None = None) -> DataFrame:
@@ -58,10 +60,13 @@ def fit_sized(est: Estimator, df: DataFrame, n_rows: int | None = None):
 
 
 def logistic_regression(n_rows: int, C: float = 1.0, max_iter: int = 1000, label: str = "label") -> Estimator:
-    """H1: L2 logistic regression equivalent to C-parameterised sum-of-losses."""
+    """H1: L2 logistic regression equivalent to C-parameterised sum-of-losses on scaled features.
+
+    ``standardization`` divides each feature by its standard deviation before the penalty; centring only moves the intercept.
+    """
     return LogisticRegression(
         featuresCol=FEATURES, labelCol=label, regParam=1.0 / (C * max(1, n_rows)), elasticNetParam=0.0,
-        standardization=False, maxIter=max_iter,
+        standardization=True, maxIter=max_iter,
     )
 
 
@@ -95,9 +100,9 @@ def gradient_boosting(max_iter: int = 100, step: float = 0.1, max_depth: int = 3
 
 def boosted_hist(max_iter: int = 300, step: float = 0.03, max_leaf_nodes: int = 31, min_leaf: int = 20,
                  label: str = "label", seed: int = 42) -> Estimator:
-    """H8: histogram boosting re-aimed: depth chosen so 2^depth >= max_leaf_nodes, 256 bins."""
+    """H8: histogram boosting re-aimed: depth chosen so 2^depth >= max_leaf_nodes (Spark's trees end at 30), 256 bins."""
     depth = max(1, math.ceil(math.log2(max(2, max_leaf_nodes))))
-    return gradient_boosting(max_iter, step, min(depth, 6), label, seed, min_leaf, 1.0, 256)
+    return gradient_boosting(max_iter, step, min(depth, 30), label, seed, min_leaf, 1.0, 256)
 
 
 def boosted_profile(profile: str, max_iter: int = 1500, step: float = 0.03, label: str = "label", seed: int = 42) -> Estimator:
@@ -106,11 +111,6 @@ def boosted_profile(profile: str, max_iter: int = 1500, step: float = 0.03, labe
     return gradient_boosting(max_iter, step, depth, label, seed, 1, sub, 64)
 
 
-def positive_probability(pred: DataFrame, out: str = "p") -> DataFrame:
-    """Probability of class 1 as a double column."""
-    return pred.withColumn(out, vector_to_array(F.col("probability"))[1]).drop("rawPrediction", "probability")
-
-
 def score(model, df: DataFrame, keep: Sequence[str], out: str = "p") -> DataFrame:
     """``transform`` and keep the id/label columns plus the class-1 probability."""
     pred = model.transform(df)
@@ -199,7 +199,8 @@ class AdaBoostModel:
             cur = stump.setPredictionCol(col).setProbabilityCol(f"__abp{i}").setRawPredictionCol(f"__abr{i}").transform(cur)
             margin = margin + F.lit(a) * (F.lit(2.0) * F.col(col) - F.lit(1.0))
         d = margin / F.lit(total)
-        return cur.select(*keep, (F.lit(1.0) / (F.lit(1.0) + F.exp(-d))).alias(out))
+        # Two-class SAMME: softmax over (-d, d).
+        return cur.select(*keep, (F.lit(1.0) / (F.lit(1.0) + F.exp(-2 * d))).alias(out))
 
 
 def adaboost(train: DataFrame, label: str = "label", rounds: int = 50, learning_rate: float = 1.0,
@@ -240,25 +241,48 @@ def adaboost(train: DataFrame, label: str = "label", rounds: int = 50, learning_
 # ----------------------------------------------------------------------------- early stopping, curves
 
 
-def early_stopping_fit(train: DataFrame, valid: DataFrame, est: GBTClassifier, patience: int = 50):
-    """Fit up to ``maxIter`` trees, pick the best round on ``valid`` with the given
-    patience (stop at the first run of ``patience`` rounds without improvement),
-    refit with that many trees. Returns (model, best_iter, losses)."""
-    train = sized_for_fit(train)
-    full = est.fit(train)
-    losses = [x / 2.0 for x in full.evaluateEachIteration(valid)]  # logistic loss reported doubled
-    best, best_i, since = float("inf"), 0, 0
+def best_round(losses: Sequence[float], patience: int) -> tuple[int, bool]:
+    """The round (0-based) with the lowest loss up to the first run of ``patience`` rounds without
+    improvement, and whether that run was seen."""
+    best, best_i = float("inf"), 0
     for i, loss in enumerate(losses):
         if loss < best:
-            best, best_i, since = loss, i, 0
-        else:
-            since += 1
-            if since >= patience:
-                break
-    n_trees = best_i + 1
-    if n_trees == est.getMaxIter():
-        return full, n_trees, losses
-    return est.copy({est.maxIter: n_trees}).fit(train), n_trees, losses
+            best, best_i = loss, i
+        elif i - best_i >= patience:
+            return best_i, True
+    return best_i, False
+
+
+def first_trees(model: GBTClassificationModel, n: int) -> GBTClassificationModel:
+    """The boosted model of the first ``n`` trees. Boosting is sequential, so this equals a fit with ``n`` iterations."""
+    java, gateway = model._java_obj, SparkContext._gateway
+    ml = gateway.jvm.org.apache.spark.ml
+    trees = gateway.new_array(ml.regression.DecisionTreeRegressionModel, n)
+    weights = gateway.new_array(gateway.jvm.double, n)
+    all_trees, all_weights = java.trees(), java.treeWeights()
+    for k in range(n):
+        trees[k], weights[k] = all_trees[k], all_weights[k]
+    cut = ml.classification.GBTClassificationModel(java.uid(), trees, weights, java.numFeatures(), java.numClasses())
+    out = GBTClassificationModel(cut)
+    model._copyValues(out)
+    return out
+
+
+def early_stopping_fit(train: DataFrame, valid: DataFrame, est: GBTClassifier, patience: int = 50, first: int = 64):
+    """Boosting that stops after ``patience`` rounds without a lower loss on ``valid``.
+
+    Spark ML cannot resume a boosted model, so the budget doubles (``first``, 2 * first, ... up to ``maxIter``) until the
+    best round plus ``patience`` lies inside it; the model is then cut to its best round instead of being fitted again.
+    Returns (model, best_iter, losses)."""
+    train = sized_for_fit(train)
+    budget = min(first, est.getMaxIter())
+    while True:
+        full = est.copy({est.maxIter: budget}).fit(train)
+        losses = [x / 2.0 for x in full.evaluateEachIteration(valid)]  # logistic loss reported doubled
+        best, stopped = best_round(losses, patience)
+        if stopped or budget == est.getMaxIter():
+            return first_trees(full, best + 1), best + 1, losses
+        budget = min(2 * budget, est.getMaxIter())
 
 
 def _f1_by_iteration(model, df: DataFrame, label: str, batch: int = 50) -> list[float]:

@@ -59,7 +59,7 @@ def exact_quantiles(
     probs: Sequence[float],
     by: Sequence[str] = (),
     bins: int = 1024,
-    max_collect: int = 100_000,
+    max_collect: int = 4096,
 ) -> dict:
     """Exact linear-interpolation quantiles (pandas / ``quantile_cont``) without
     gathering a column's distinct values into one task.
@@ -83,7 +83,7 @@ def exact_quantiles(
             pos = p * (n - 1)
             lo_r, hi_r = int(math.floor(pos)), int(math.ceil(pos))
             a, b = values[key][lo_r], values[key][hi_r]
-            qs.append(a + (b - a) * (pos - lo_r))
+            qs.append(a if a == b else a + (b - a) * (pos - lo_r))
         out[key] = qs
     groups = {g for g, _ in counts} or {()}
     for c in cols:
@@ -93,7 +93,7 @@ def exact_quantiles(
 
 
 def order_statistics(df, cols: Sequence[str], ranks_for, by: Sequence[str] = (), bins: int = 1024,
-                     max_collect: int = 100_000):
+                     max_collect: int = 4096):
     """Values at 0-based ascending ranks, for every (group, column), by histogram narrowing.
 
     ``ranks_for(n)`` gives the wanted ranks for a (group, column) with ``n``
@@ -104,6 +104,7 @@ def order_statistics(df, cols: Sequence[str], ranks_for, by: Sequence[str] = (),
     shrinks to the bin. All columns, groups and ranks share each pass, so a
     handful of scans serve a whole describe. Driver traffic per pass is at
     most (#open ranges x ``bins``) rows; no task ever holds a whole column.
+    Infinite values are counted at either end and never enter the narrowing.
 
     Returns (``{(group, col): {rank: value}}``, ``{(group, col): n}``).
     """
@@ -122,7 +123,13 @@ def order_statistics(df, cols: Sequence[str], ranks_for, by: Sequence[str] = (),
             F.explode(F.array(*[F.struct(F.lit(c).alias("col_name"), F.col(c).alias("v")) for c in cols])).alias("__r"),
         ).select(*by, "__r.col_name", "__r.v").where(F.col("v").isNotNull() & ~F.isnan("v"))
         keys = by + ["col_name"]
-        stats = long.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("mn"), F.max("v").alias("mx")).collect()
+        inf = F.lit(float("inf"))
+        finite = F.when(F.abs("v") < inf, F.col("v"))
+        stats = long.groupBy(*keys).agg(
+            F.count(F.lit(1)).alias("n"), F.min(finite).alias("mn"), F.max(finite).alias("mx"),
+            F.count(F.when(F.col("v") == -inf, 1)).alias("low"), F.count(F.when(F.col("v") == inf, 1)).alias("high"),
+        ).collect()
+        long = long.where(F.abs("v") < inf)
         # state per (key, rank): [lo, hi, rows below lo, value, collect-flag]
         wanted: dict[tuple, dict[int, list]] = {}
         counts = {}
@@ -131,10 +138,15 @@ def order_statistics(df, cols: Sequence[str], ranks_for, by: Sequence[str] = (),
             counts[(key[:-1], key[-1])] = r["n"]
             # A column with at most `max_collect` values goes straight to the collect pass.
             small = r["n"] <= max_collect
-            wanted[key] = {
-                k: [r["mn"], r["mx"], 0, r["mn"] if r["mn"] == r["mx"] else None, small]
-                for k in ranks_for(r["n"]) if 0 <= k < r["n"]
-            }
+
+            def start(k, r=r, small=small):
+                if k < r["low"]:
+                    return [None, None, 0, float("-inf"), small]
+                if k >= r["n"] - r["high"]:
+                    return [None, None, 0, float("inf"), small]
+                return [r["mn"], r["mx"], r["low"], r["mn"] if r["mn"] == r["mx"] else None, small]
+
+            wanted[key] = {k: start(k) for k in ranks_for(r["n"]) if 0 <= k < r["n"]}
         spark = df.sparkSession
         key_schema = ", ".join(f"`{k}` {t}" for k, t in _key_types(long, keys))
 
@@ -147,7 +159,7 @@ def order_statistics(df, cols: Sequence[str], ranks_for, by: Sequence[str] = (),
             rf = F.broadcast(range_frame(items))
             return long.join(rf, on=keys).where((F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi")))
 
-        for _ in range(64):
+        while True:
             open_ranges = sorted(
                 {(key, st[0], st[1]) for key, rs in wanted.items() for st in rs.values() if st[3] is None and not st[4]},
                 key=lambda x: (str(x[0]), x[1], x[2]),
@@ -174,8 +186,12 @@ def order_statistics(df, cols: Sequence[str], ranks_for, by: Sequence[str] = (),
                                     break
                                 acc += v["c"]
                 continue
-            width = (F.col("hi") - F.col("lo")) / F.lit(float(bins))
-            b = F.least(F.floor((F.col("v") - F.col("lo")) / width), F.lit(bins - 1)).cast("int")
+            # Share of the way from lo to hi, halved first where hi - lo would overflow. lo and hi never
+            # share a bin, so every pass shrinks the range.
+            span = F.col("hi") - F.col("lo")
+            halved = (F.col("v") / 2 - F.col("lo") / 2) / (F.col("hi") / 2 - F.col("lo") / 2)
+            share = F.when(span < inf, (F.col("v") - F.col("lo")) / span).otherwise(halved)
+            b = F.least(F.floor(share * bins), F.lit(bins - 1)).cast("int")
             hist = restricted(open_ranges).groupBy("rid", b.alias("bin")).agg(
                 F.count(F.lit(1)).alias("c"), F.min("v").alias("bmn"), F.max("v").alias("bmx")
             ).collect()
@@ -197,8 +213,6 @@ def order_statistics(df, cols: Sequence[str], ranks_for, by: Sequence[str] = (),
                                 st[4] = h["c"] <= max_collect
                             break
                         acc += h["c"]
-        else:
-            raise RuntimeError("order_statistics did not converge")
         values = {(key[:-1], key[-1]): {k: st[3] for k, st in rs.items()} for key, rs in wanted.items()}
         return values, counts
     finally:

@@ -16,7 +16,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,7 +28,7 @@ from churnlake.operators import evaluate as I
 from churnlake.operators import folds as E
 from churnlake.operators import models as H
 from churnlake.sources.accounts import accounts, train_test
-from churnlake.session import require_checkpoint_dir
+from churnlake.session import materialised, require_checkpoint_dir
 from churnlake.sources.io import submission_table
 
 TARGET = "exit_status"
@@ -78,9 +77,8 @@ def model_matrix(train: DataFrame, test: DataFrame, k: int = 30, ln_m: float = 2
         "id", TARGET, "label", "fold", "features"
     )
     te = D.assemble_features(test_wide, names).select("id", "features")
-    if persist:
-        tr = tr.persist(StorageLevel.MEMORY_AND_DISK)
-        te = te.persist(StorageLevel.MEMORY_AND_DISK)
+    if persist:  # written, not cached: nothing is left behind on the executors
+        tr, te = materialised(tr), materialised(te)
     return Matrix(tr, te, names, prior)
 
 
@@ -90,13 +88,6 @@ def load(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return train_test(accounts(spark, sf_dir).checkpoint(eager=True))
 
 
-def model_a(m: Matrix, k: int, max_iter: int = 300, parallelism: int | None = None):
-    """Single boosted learner (histogram-boosting settings), OOF scores, threshold on the 81/161 grid."""
-    make = lambda f: H.boosted_hist(max_iter=max_iter, step=0.03, max_leaf_nodes=31, min_leaf=20, seed=42 + f)
-    oof, test_p = H.oof_scores(m.train, make, "fold", k, ["id", TARGET], m.test, ["id"], parallelism)
-    return oof, test_p
-
-
 def final_blend(m: Matrix, k: int, max_iter: int = 1500, weights=(0.4, 0.2, 0.4), parallelism: int | None = None,
                 patience: int | None = 50):
     """Three boosted members per fold, blended 0.4 / 0.2 / 0.4.
@@ -121,6 +112,7 @@ def final_blend(m: Matrix, k: int, max_iter: int = 1500, weights=(0.4, 0.2, 0.4)
 
 def choose_and_submit(oof: DataFrame, test_scores: DataFrame, grid=GRID_161, pcts=(0.22,)) -> tuple[DataFrame, DataFrame]:
     """Threshold by grid sweep + top-share candidates, then the submission table."""
+    oof = materialised(oof)  # the search reads the scores several times; the models score once
     best = I.choose_threshold(oof, TARGET, "p", grid, pcts)
     t = best.first()["best_thresh"]
     return best, submission_table(test_scores, "p", t)

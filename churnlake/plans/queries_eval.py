@@ -225,12 +225,14 @@ def i11_log_loss(spark, sf_dir):
     rounded=("p",),
 )
 def h17_fold_mean_scores(spark, sf_dir):
+    from churnlake.operators.models import fold_mean_scores
+
     _, test = train_test(accounts(spark, sf_dir))
     parts = [test.select("id", unit_score("id", f"fold{f}").alias("p")) for f in range(5)]
     u = parts[0]
     for p in parts[1:]:
         u = u.unionByName(p)
-    return u.groupBy("id").agg(F.avg("p").alias("p"))
+    return fold_mean_scores(u, ["id"])
 
 
 @register(

@@ -129,13 +129,12 @@ def c05_impute_where_needed(spark, sf_dir):
     return tr.select(cols).withColumn("split", F.lit("train")).unionByName(te.select(cols).withColumn("split", F.lit("test")))
 
 
-_DUP_COLS = ["customer_id", "last_name", "country", "gender", "tenure", "has_card", "is_active"]
 
 
-@register("c06_drop_duplicates", "SELECT DISTINCT " + ", ".join(_DUP_COLS) + " FROM train")
+@register("c06_drop_duplicates", "SELECT DISTINCT * FROM (SELECT * FROM train UNION ALL SELECT * FROM train WHERE id % 101 = 0)")
 def c06_drop_duplicates(spark, sf_dir):
     train, _ = _tt(spark, sf_dir)
-    return C.drop_duplicates(train.select(*_DUP_COLS))
+    return C.drop_duplicates(train.unionAll(train.where("id % 101 = 0")))
 
 
 @register(

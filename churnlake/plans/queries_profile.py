@@ -106,16 +106,16 @@ def b08_missing_total(spark, sf_dir):
     return P.missing_total(train_table(spark, sf_dir))
 
 
-_DUP_COLS = ["customer_id", "last_name", "country", "gender", "tenure", "has_card", "is_active"]
 
 
 @register(
     "b09_duplicate_count",
-    "SELECT CAST(coalesce(sum(c - 1), 0) AS BIGINT) AS duplicates FROM (SELECT count(*) AS c FROM train GROUP BY "
-    + ", ".join(_DUP_COLS) + ")",
+    "SELECT CAST(count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM dup)) AS BIGINT) AS duplicates FROM dup",
+    ctes="dup AS (SELECT * FROM train UNION ALL SELECT * FROM train WHERE id % 101 = 0)",
 )
 def b09_duplicate_count(spark, sf_dir):
-    return P.duplicate_count(train_table(spark, sf_dir).select(*_DUP_COLS))
+    train = train_table(spark, sf_dir)
+    return P.duplicate_count(train.unionAll(train.where("id % 101 = 0")))
 
 
 def _iqr_sql(c: str) -> str:

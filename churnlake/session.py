@@ -52,6 +52,17 @@ def require_checkpoint_dir(spark: SparkSession) -> str:
     raise RuntimeError("set spark.checkpoint.dir to a shared folder before running iterative operators")
 
 
+def materialised(df):
+    """``df`` written once to the checkpoint folder and read back as a plain scan.
+
+    Used for the per-key side of a join: AQE splits a hot key only if both join inputs come
+    straight from a shuffle, which an aggregate on top of its shuffle does not.
+    Where no folder is configured (tests), a scratch one is set.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Tests/bench only: use the configured folder, else a scratch one on this machine."""
     sc = spark.sparkContext

@@ -65,7 +65,7 @@ def test_oof_scores_cover_every_row_and_threshold(matrix):
 def test_early_stopping_and_curve(matrix):
     tr, va = E.fold_slice(matrix.train, 2)
     model, n_trees, losses = H.early_stopping_fit(tr, va, H.boosted_profile("a", 12), patience=3)
-    assert 1 <= n_trees <= 12 and len(losses) == 12
+    assert 1 <= n_trees <= 12 and len(losses) <= 12 and model.getNumTrees == n_trees
     curve = H.learning_curve(model, tr, va).collect()
     assert len(curve) == n_trees and all(r.learn_logloss > 0 for r in curve)
     # the last iteration's F1 equals the F1 of the model's own predictions at 0.5
@@ -76,6 +76,31 @@ def test_early_stopping_and_curve(matrix):
     assert curve[-1].test_f1 == pytest.approx(want, abs=1e-12)
 
 
+def test_stopped_model_equals_a_refit_and_trains_fewer_trees(matrix):
+    tr, va = E.fold_slice(matrix.train, 3)
+    est = H.gradient_boosting(400, 0.3, 4, subsample=0.8)
+    model, n_trees, losses = H.early_stopping_fit(tr, va, est, patience=4, first=8)
+    assert n_trees + 4 <= len(losses) < 400
+    again = est.copy({est.maxIter: n_trees}).fit(H.sized_for_fit(tr))
+    a, b = (H.score(m, va, ["id"]).orderBy("id").collect() for m in (model, again))
+    assert [r.p for r in a] == pytest.approx([r.p for r in b], abs=1e-12)
+
+
+def test_best_round():
+    assert H.best_round([5, 4, 3, 3.5, 3.2, 1], 2) == (2, True)
+    assert H.best_round([5, 4, 3, 3.5, 1], 2) == (4, False)
+
+
+def test_adaboost_probability_is_the_two_class_softmax(matrix):
+    import math
+
+    tr, va = E.fold_slice(matrix.train, 1)
+    m = H.adaboost(tr, rounds=1)
+    m.alphas = [0.7]
+    got = {round(r.p, 9) for r in m.transform_scores(va, ["id"]).collect()}
+    assert got <= {round(1 / (1 + math.exp(-2 * d)), 9) for d in (-1.0, 1.0)}
+
+
 def test_final_blend_with_early_stopping(matrix):
     oof, tst = churn.final_blend(matrix, 4, max_iter=6, patience=2)
     assert oof.count() == matrix.train.count()
