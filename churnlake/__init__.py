@@ -1,10 +1 @@
-"""churnlake: Spark-native toolkit for tabular churn classification at scale.
-
-Every operator takes and returns DataFrames; column names come from a
-:class:`~churnlake.roles.Roles` value so the same code serves any table with
-identifiers, categoricals, numerics and a binary outcome.
-"""
-
-from churnlake.roles import Roles, DEFAULT_ROLES
-
-__all__ = ["Roles", "DEFAULT_ROLES"]
+"""churnlake: Spark-native toolkit for tabular churn classification and for building training corpora at scale."""

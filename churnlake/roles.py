@@ -1,40 +1,10 @@
-"""Column roles and explicit schemas (no schema inference at scale)."""
+"""Explicit schemas (no schema inference at scale)."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
-
 from pyspark.sql import types as T
 
-
-@dataclass(frozen=True)
-class Roles:
-    """Names of the column groups an operator works on."""
-
-    id: str = "id"
-    target: str = "exit_status"
-    identifiers: tuple[str, ...] = ("customer_id", "last_name")
-    categoricals: tuple[str, ...] = ("country", "gender")
-    numerics: tuple[str, ...] = (
-        "credit_score",
-        "age",
-        "tenure",
-        "acc_balance",
-        "prod_count",
-        "has_card",
-        "is_active",
-        "estimated_salary",
-    )
-    # Columns with missing values in the source data.
-    nullable_numerics: tuple[str, ...] = ("credit_score", "acc_balance", "prod_count")
-    composite_key: tuple[str, ...] = field(
-        default=("customer_id", "last_name", "country", "gender")
-    )
-
-
-DEFAULT_ROLES = Roles()
-
-# Schema of the training table; the test table is the same without the target.
+# Schema of the training table; the test table is the same without the target.
 TRAIN_SCHEMA = T.StructType(
     [
         T.StructField("id", T.LongType(), False),
@@ -53,5 +23,3 @@ TRAIN_SCHEMA = T.StructType(
         T.StructField("exit_status", T.IntegerType(), True),
     ]
 )
-
-TEST_SCHEMA = T.StructType([f for f in TRAIN_SCHEMA.fields if f.name != "exit_status"])
