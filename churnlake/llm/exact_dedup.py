@@ -7,13 +7,13 @@ probability of (1 - exp(-HASHES / bits_per_row)) ** HASHES, 0.5 % here. Only row
 shuffled (to be compared by their full SHA-256); all others go straight through.
 
 The filter's size follows the number of rows up to ``max_filter_bits``. Beyond it the digests are
-written in shards by digest prefix, each shard gets a filter of its own, and the shards are worked
-one after the other: the broadcast never exceeds ``max_filter_bits / 8`` bytes at any input size.
+written in shards by digest prefix, and each shard gets a filter of its own. A shard's marked rows are
+written and its filter is freed before the next shard starts: the driver and the executors hold
+``max_filter_bits / 8`` bytes of filter at any input size.
 """
 
 from __future__ import annotations
 
-import functools
 import hashlib
 import uuid
 from collections.abc import Iterator
@@ -130,16 +130,20 @@ def filter_shape(rows: int, bits_per_row: int, max_filter_bits: int) -> tuple[in
 
 def flagged(digested: DataFrame, shards: int, bits: int) -> DataFrame:
     """``digested`` with ``_xd_maybe``: whether the Bloom counters allow a second copy of the row's text."""
-    if shards > 1:  # one write without a shuffle; each pass then reads its own shard only
-        # The counters are picked by the low bits of the digest word, the shard by its high bits.
-        path = f"{shared_folder(digested.sparkSession)}/llm-shards-{uuid.uuid4().hex}"
-        digested.withColumn("_xd_shard", F.pmod(F.shiftrightunsigned("_xd_h", 40), F.lit(shards)).cast("int")).write.partitionBy("_xd_shard").parquet(path)
-        whole = digested.sparkSession.read.parquet(path)
-        parts = [whole.where(F.col("_xd_shard") == k).drop("_xd_shard") for k in range(shards)]
-    else:
-        parts = [digested]
-    marked = [p.withColumn("_xd_maybe", _test(bloom_filter(p, bits))("_xd_h")) for p in parts]
-    return functools.reduce(DataFrame.unionAll, marked)
+    if shards == 1:
+        return digested.withColumn("_xd_maybe", _test(bloom_filter(digested, bits))("_xd_h"))
+    # One write without a shuffle; each pass then reads its own shard only.
+    # The counters are picked by the low bits of the digest word, the shard by its high bits.
+    spark, folder = digested.sparkSession, f"{shared_folder(digested.sparkSession)}/llm-shards-{uuid.uuid4().hex}"
+    digested.withColumn("_xd_shard", F.pmod(F.shiftrightunsigned("_xd_h", 40), F.lit(shards)).cast("int")).write.partitionBy("_xd_shard").parquet(f"{folder}/digests")
+    whole = spark.read.parquet(f"{folder}/digests")
+    marked = digested.withColumn("_xd_maybe", F.lit(True)).schema
+    for k in range(shards):
+        part = whole.where(F.col("_xd_shard") == k).select(*digested.columns)
+        found = bloom_filter(part, bits)
+        part.withColumn("_xd_maybe", _test(found)("_xd_h")).write.mode("append").parquet(f"{folder}/marked")
+        found.destroy()
+    return spark.read.schema(marked).parquet(f"{folder}/marked")
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits_per_row: int = 16, max_filter_bits: int = 1 << 28) -> DataFrame:
