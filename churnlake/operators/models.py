@@ -76,11 +76,11 @@ def decision_tree(max_depth: int = 8, label: str = "label", seed: int = 42) -> E
 
 
 def random_forest(num_trees: int = 100, max_depth: int = 10, label: str = "label", seed: int = 42,
-                  bootstrap: bool = True) -> Estimator:
+                  bootstrap: bool = True, min_leaf: int = 1) -> Estimator:
     """H4 (and H5 with ``bootstrap=False``)."""
     return RandomForestClassifier(
         featuresCol=FEATURES, labelCol=label, numTrees=num_trees, maxDepth=max_depth, maxBins=256,
-        featureSubsetStrategy="sqrt", bootstrap=bootstrap, seed=seed,
+        featureSubsetStrategy="sqrt", bootstrap=bootstrap, minInstancesPerNode=min_leaf, seed=seed,
     )
 
 

@@ -1,16 +1,12 @@
 """Registered model queries (H, A5, I9) on the whole accounts train/test tables.
 
 Model scores have no SQL form. The single-model queries return every row that must be scored, with a
-check of its score, which SQL can state. h14, h15, h16, h18, a5 and i09 still run smaller settings than the
-full ones (see README).
+check of its score, which SQL can state; the searches and sweeps return every configuration with the rows
+scored for it. h15, h16, h18, a5 and i09 still run smaller settings than the full ones (see README).
 """
 
 from __future__ import annotations
 
-import random
-
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import functions as F
 
 from churnlake.functions.grids import GRID_161
@@ -18,8 +14,10 @@ from churnlake.functions.hashing import duckdb_hash32
 from churnlake.operators import evaluate as I
 from churnlake.operators import folds as E
 from churnlake.operators import models as H
+from churnlake.operators import search as S
 from churnlake.plans import churn
 from churnlake.plans.catalog import register
+from churnlake.session import materialised
 
 TARGET = "exit_status"
 KEEP = ["id", TARGET]
@@ -108,72 +106,119 @@ def h16_oof_scores(spark, sf_dir):
     return _judged(oof)
 
 
-def _cv(est, grid, fit_part, folds=3):
-    cvdata = H.sized_for_fit(E.stratified_kfold(fit_part.drop("fold"), TARGET, folds, seed="cv", out="cv_fold"))
-    ev = MulticlassClassificationEvaluator(metricName="fMeasureByLabel", metricLabel=1.0, labelCol="label")
-    cv = CrossValidator(estimator=est, estimatorParamMaps=grid, evaluator=ev, foldCol="cv_fold", numFolds=folds, parallelism=4)
-    return cv.fit(cvdata)
+CV_FOLDS = 3
+REFIT = -1  # stands for the fold of the refitted best setting, scored on the holdout
+
+
+def _searched(spark, sf_dir, tried, with_refit: bool = True):
+    """One row per setting and fold of a stratified cross-validation on the 80 % part, and one per family for
+    the refitted best setting on the holdout: rows scored, and whether F1 is a share."""
+    _, fit_part, hold = _holdout(spark, sf_dir)
+    data = materialised(E.stratified_kfold(fit_part.drop("fold"), TARGET, CV_FOLDS, seed="cv", out="cv_fold"))
+    scores = S.cross_validate(data, tried, "cv_fold", CV_FOLDS)
+    rows = [(tried[s.candidate].family, tried[s.candidate].params, s.fold, s.n_scored, 0.0 <= s.f1 <= 1.0) for s in scores]
+    for family in sorted({c.family for c in tried}) if with_refit else []:
+        best = S.best_candidate([s for s in scores if tried[s.candidate].family == family])
+        judged = _judged(H.score(S.refit(data, tried[best]), hold, KEEP)).agg(F.count("id").alias("n"), F.min("p_ok").alias("ok")).first()
+        rows.append((family, "best", REFIT, judged["n"], judged["ok"]))
+    return spark.createDataFrame(rows, "family string, params string, fold int, n_scored long, f1_ok boolean")
+
+
+def _searched_sql(tried, with_refit: bool = True) -> str:
+    listed = ", ".join(f"('{f}', '{p}')" for f, p in tried)
+    families = ", ".join(f"('{f}')" for f in sorted({f for f, _ in tried}))
+    ranked = f"""SELECT id, exit_status, row_number() OVER (PARTITION BY exit_status ORDER BY {duckdb_hash32('id', 'holdout')}, id)
+           <= ceil(count(*) OVER (PARTITION BY exit_status) * 0.2::DOUBLE) AS held FROM train"""
+    fold = f"CAST((row_number() OVER (PARTITION BY exit_status ORDER BY {duckdb_hash32('id', 'cv')}, id) - 1) % {CV_FOLDS} AS INTEGER)"
+    sql = f"""SELECT c.family, c.params, f.fold, f.n_scored, TRUE AS f1_ok FROM (VALUES {listed}) AS c(family, params),
+      (SELECT fold, count(*) AS n_scored FROM (SELECT {fold} AS fold FROM ({ranked}) WHERE NOT held) GROUP BY fold) f"""
+    if with_refit:
+        sql += f""" UNION ALL SELECT c.family, 'best', {REFIT}, (SELECT count(*) FROM ({ranked}) WHERE held), TRUE FROM (VALUES {families}) AS c(family)"""
+    return sql
+
+
+# The grids searched.
+TREE_GRID = {"max_depth": [6, 8, 10]}
+FOREST_GRID = {"num_trees": [100, 200], "max_depth": [8, 10]}
+BOOSTED_GRID = {"step": [0.03, 0.05], "max_iter": [200, 300]}
+FOREST_DRAWS = {"num_trees": [100, 150], "max_depth": [10, 15], "min_leaf": [1, 2, 4]}
+
+
+def _tree_candidates():
+    return S.candidates("decision_tree", S.settings(TREE_GRID), H.decision_tree) + S.candidates("random_forest", S.settings(FOREST_GRID), H.random_forest)
+
 
+def _boosted_candidates():
+    return S.candidates("boosted_hist", S.settings(BOOSTED_GRID), H.boosted_hist)
 
-def _cv_table(spark, cvm, grid):
-    rows = [(str({p.name: v for p, v in pm.items()}), float(mt)) for pm, mt in zip(grid, cvm.avgMetrics)]
-    return spark.createDataFrame(rows, "params string, cv_f1 double")
 
+def _drawn_forests():
+    return S.candidates("random_forest", S.drawn(FOREST_DRAWS, 6), H.random_forest)
 
-@register("h14_grid_search", None)
+
+def _named(family: str, chosen) -> list[tuple[str, str]]:
+    """(family, params) of each setting, as the candidates carry them (the SQL is built without a session)."""
+    return [(family, S.named(s)) for s in chosen]
+
+
+@register("h14_grid_search", _searched_sql(_named("decision_tree", S.settings(TREE_GRID)) + _named("random_forest", S.settings(FOREST_GRID))))
 def h14_grid_search(spark, sf_dir):
-    m, fit_part, hold = _holdout(spark, sf_dir)
-    dt = H.decision_tree()
-    grid = ParamGridBuilder().addGrid(dt.maxDepth, [4, 6, 8]).addGrid(dt.minInstancesPerNode, [1, 20]).build()
-    cvm = _cv(dt, grid, fit_part)
-    return _cv_table(spark, cvm, grid)
+    return _searched(spark, sf_dir, _tree_candidates())
 
 
-@register("h14_grid_search_boosted", None)
+@register("h14_grid_search_boosted", _searched_sql(_named("boosted_hist", S.settings(BOOSTED_GRID)), False))
 def h14_grid_search_boosted(spark, sf_dir):
-    m, fit_part, hold = _holdout(spark, sf_dir)
-    gbt = H.boosted_hist(10, 0.05, 31, 20)
-    grid = ParamGridBuilder().addGrid(gbt.maxDepth, [3, 5]).addGrid(gbt.stepSize, [0.05, 0.1]).build()
-    return _cv_table(spark, _cv(gbt, grid, fit_part), grid)
+    return _searched(spark, sf_dir, _boosted_candidates(), False)
 
 
-@register("h15_random_search", None)
+@register("h15_random_search", _searched_sql(_named("random_forest", S.drawn(FOREST_DRAWS, 6))))
 def h15_random_search(spark, sf_dir):
-    m, fit_part, hold = _holdout(spark, sf_dir)
-    rf = H.random_forest(20, 6)
-    full = ParamGridBuilder().addGrid(rf.maxDepth, [4, 6, 8]).addGrid(rf.numTrees, [10, 20]).addGrid(rf.minInstancesPerNode, [1, 10]).build()
-    grid = random.Random(42).sample(full, 4)
-    return _cv_table(spark, _cv(rf, grid, fit_part), grid)
+    return _searched(spark, sf_dir, _drawn_forests())
+
+
+CURVE_ROUNDS = 20
 
 
-@register("a5_learning_curve", None)
+@register("a5_learning_curve", f"SELECT CAST(i AS INTEGER) AS iter, TRUE AS curve_ok FROM range({CURVE_ROUNDS}) AS r(i)")
 def a5_learning_curve(spark, sf_dir):
     m, fit_part, hold = _holdout(spark, sf_dir)
-    model = H.fit_sized(H.boosted_profile("c", 20), fit_part)
-    return H.learning_curve(model, fit_part, hold)
+    curve = H.learning_curve(H.fit_sized(H.boosted_profile("c", CURVE_ROUNDS), fit_part), fit_part, hold)
+    ok = F.lit(True)
+    for part in ("learn", "test"):
+        ok = ok & F.col(f"{part}_f1").between(0.0, 1.0) & (F.col(f"{part}_logloss") > 0) & (F.col(f"{part}_logloss") < 1)
+    return curve.select("iter", ok.alias("curve_ok"))
+
+
+SMOOTHINGS, SWEEP_FOLDS = (1.0, 5.0, 20.0), 5
 
 
-@register("i09_experiment_sweep", None)
+@register(
+    "i09_experiment_sweep",
+    "SELECT c.label, c.cid_m, c.folds, n.n_scored, TRUE AS best_ok FROM (VALUES "
+    + ", ".join(f"('cid_m={x}', {x}::DOUBLE, {SWEEP_FOLDS})" for x in SMOOTHINGS)
+    + ") AS c(label, cid_m, folds), (SELECT count(*) AS n_scored FROM train) n",
+)
 def i09_experiment_sweep(spark, sf_dir):
     """Per smoothing value of the identity-key encoding: OOF boosted scores, best F1 and threshold."""
     train, test = churn.load(spark, sf_dir)
     rows = []
-    for cid_m in (1.0, 5.0, 20.0):
-        m = churn.model_matrix(train, test, k=5, cid_m=cid_m)
-        oof, _ = H.oof_scores(m.train, lambda f: H.gradient_boosting(15, 0.1, 3, seed=42 + f), "fold", 5, KEEP)
+    for cid_m in SMOOTHINGS:
+        m = churn.model_matrix(train, test, k=SWEEP_FOLDS, cid_m=cid_m)
+        oof, _ = H.oof_scores(m.train, lambda f: H.gradient_boosting(15, 0.1, 3, seed=42 + f), "fold", SWEEP_FOLDS, KEEP)
+        oof = materialised(oof)
         best = I.choose_threshold(oof, TARGET, "p", GRID_161, (0.21, 0.22, 0.23)).first()
-        rows.append((f"cid_m={cid_m}", cid_m, 5, float(best["best_f1"]), float(best["best_thresh"]), float(best["pos_rate"])))
-    res = spark.createDataFrame(rows, "label string, cid_m double, folds int, best_f1 double, best_thresh double, pos_rate double")
-    return res.withColumn("goal_met", F.col("best_f1") > F.lit(0.66))
+        ok = all(0.0 <= best[c] <= 1.0 for c in ("best_f1", "best_thresh", "pos_rate"))
+        rows.append((f"cid_m={cid_m}", cid_m, SWEEP_FOLDS, oof.where("p is not null").count(), ok))
+    return spark.createDataFrame(rows, "label string, cid_m double, folds int, n_scored long, best_ok boolean")
 
 
-@register("h18_final_blend_submission", None)
+@register("h18_final_blend_submission", "SELECT id, TRUE AS label_ok FROM test")
 def h18_final_blend_submission(spark, sf_dir):
     """The final model end to end: 3 boosted members x 5 folds with early stopping,
     0.4/0.2/0.4 blend, threshold by the 161-point sweep plus the top-22 % candidate,
-    submission table (id, exit_status)."""
+    submission table, whose labels are checked to be 0 or 1."""
     train, test = churn.load(spark, sf_dir)
     m = churn.model_matrix(train, test, k=5)
     oof, tst = churn.final_blend(m, 5, max_iter=10, patience=3)
     _, sub = churn.choose_and_submit(oof, tst, GRID_161, (0.22,))
-    return sub
+    return sub.select("id", F.coalesce(F.col(TARGET).isin(0, 1), F.lit(False)).alias("label_ok"))

@@ -7,6 +7,7 @@ from churnlake.functions.grids import GRID_161
 from churnlake.operators import evaluate as I
 from churnlake.operators import folds as E
 from churnlake.operators import models as H
+from churnlake.operators import search as S
 from churnlake.plans import churn
 from tests.helpers import synthetic_churn
 
@@ -107,3 +108,20 @@ def test_final_blend_with_early_stopping(matrix):
     assert set(oof.columns) >= {"id", "exit_status", "p_a", "p_b", "p_c", "p"}
     assert tst.count() == matrix.test.count()
     assert _auc(oof) > 0.7
+
+
+def test_search_shares_long_fits_and_scores_every_fold(matrix):
+    data = matrix.train
+    tried = S.candidates("b", S.settings({"step": [0.1], "max_iter": [2, 4]}), H.boosted_hist) + S.candidates("d", S.settings({"max_depth": [1, 5]}), H.decision_tree)
+    assert tried[0].est is tried[1].est and tried[0].est.getMaxIter() == 4
+    scores = S.cross_validate(data, tried, "fold", 4)
+    assert sorted((s.candidate, s.fold) for s in scores) == [(c, f) for c in range(4) for f in range(4)]
+    assert all(sum(s.n_scored for s in scores if s.candidate == c) == data.count() for c in range(4))
+    # The shorter setting scores like a fit of its own.
+    va = data.where("fold = 1")
+    own = H.fit_sized(H.boosted_hist(2, 0.1), data.where("fold <> 1")).transform(va)
+    expected = S._f1(own, "label")[0]
+    assert next(s.f1 for s in scores if (s.candidate, s.fold) == (0, 1)) == pytest.approx(expected)
+    best = S.best_candidate(scores)
+    assert H.score(S.refit(data, tried[best]), va, ["id"]).count() == va.count()
+    assert S.best_candidate([S.FoldScore(1, 0, 0.5, 1), S.FoldScore(0, 0, 0.5, 1)]) == 0
