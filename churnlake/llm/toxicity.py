@@ -6,8 +6,10 @@ are labelled: the gradient reaches a sentence in proportion to its share of the
 score, so training finds out which sentences make a document toxic.
 
 Fitting uses a bounded sample, at most ``max_clean`` and ``max_toxic`` labelled documents, picked
-by a hash of the id. The document frequencies of all its features are a grouped aggregate; the
-``max_features`` with the largest chi-square are kept, and only their occurrences reach the driver.
+by a hash of the id. A sampled document counts for all labelled ones of its class, sampled or not (class size by
+sample size), so that the bias and a fixed threshold mean the same at every input size. The document
+frequencies of all features are a grouped aggregate; the ``max_features`` with the largest chi-square are
+kept, and only their occurrences reach the driver.
 """
 
 from __future__ import annotations
@@ -89,13 +91,14 @@ def _known_features(vocabulary: dict[str, int]):
     return run
 
 
-def fit_noisy_or(label: np.ndarray, blank: np.ndarray, lengths: list[np.ndarray], ids: list[np.ndarray], size: int, steps: int = 250, rate: float = 0.1, ridge: float = 1e-2) -> tuple[np.ndarray, float]:
-    """Adam on the mean log-loss of the noisy-or; returns the features' weights and the bias.
+def fit_noisy_or(label: np.ndarray, blank: np.ndarray, lengths: list[np.ndarray], ids: list[np.ndarray], size: int, steps: int = 250, rate: float = 0.1, ridge: float = 1e-2, weight: np.ndarray | None = None) -> tuple[np.ndarray, float]:
+    """Adam on the mean log-loss of the noisy-or, documents counted by ``weight``; returns the features' weights and the bias.
 
     With A = sum of softplus(z) over a document's sentences, P(toxic) = 1 - exp(-A); so dLoss/dA is 1
     for a clean document and -1 / (exp(A) - 1) for a toxic one, and dA/dz = sigmoid(z).
     """
     n = len(label)
+    weight = np.ones(n) if weight is None else weight
     doc = np.repeat(np.arange(n), [len(x) for x in lengths])
     per = np.concatenate([*lengths, np.zeros(0, np.int64)]).astype(np.int64)
     sentence = np.repeat(np.arange(len(per)), per)
@@ -105,7 +108,7 @@ def fit_noisy_or(label: np.ndarray, blank: np.ndarray, lengths: list[np.ndarray]
     for t in range(1, steps + 1):
         z = np.bincount(sentence, weights=w[feature], minlength=len(per)) + w[size]
         a = np.bincount(doc, weights=np.logaddexp(0, z), minlength=n) + blank * np.logaddexp(0, w[size])
-        up = np.where(label == 1, -1 / np.expm1(np.clip(a, 1e-9, 500)), 1.0) / n
+        up = np.where(label == 1, -1 / np.expm1(np.clip(a, 1e-9, 500)), 1.0) * weight / weight.sum()
         dz = up[doc] / (1 + np.exp(-z))
         db = dz.sum() + (up * blank).sum() / (1 + np.exp(-w[size]))
         g = np.append(np.bincount(feature, weights=dz[sentence], minlength=size) + ridge * w[:size] / max(1, size), db)
@@ -120,7 +123,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     Labels other than 0 and 1 and null ids are ignored; without labelled documents the model scores everything 0.
     """
     text_batches(docs.sparkSession)
-    picked = [labels.where(F.col(label_col) == c).select(F.col(id_col).alias("_tx_id"), F.lit(c).alias("label")).distinct().orderBy(md5_unit("toxic:", F.col("_tx_id")), "_tx_id").limit(most) for c, most in ((0, max_clean), (1, max_toxic))]
+    caps = {0: max_clean, 1: max_toxic}
+    known = labels.where(F.col(label_col).isin(*caps) & F.col(id_col).isNotNull()).select(F.col(id_col).alias("_tx_id"), F.col(label_col).cast("int").alias("label")).distinct()
+    stands_for = {r["label"]: max(1.0, r["n"] / max(1, caps[r["label"]])) for r in known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    picked = [known.where(F.col("label") == c).orderBy(md5_unit("toxic:", F.col("_tx_id")), "_tx_id").limit(most) for c, most in caps.items()]
     picked = F.broadcast(stage(picked[0].unionAll(picked[1]), "picked"))  # at most max_clean + max_toxic ids
     sample = stage(docs.join(picked, F.col(id_col) == F.col("_tx_id")).select("label", F.col(text_col).alias("text")), "sample")
     counts = sample.mapInArrow(_frequencies, "feature string, n0 long, n1 long").groupBy("feature").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
@@ -128,13 +134,16 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     n0, n1 = size.get(0, 0), size.get(1, 0)
     if not n1:
         return ToxicityModel({}, -50.0)
-    total, have = float(n0 + n1), F.col("n0") + F.col("n1")
-    gap = F.col("n1") * F.lit(float(n0)) - F.col("n0") * F.lit(float(n1))
-    chi2 = total * gap * gap / (F.lit(float(max(n0, 1)) * n1) * have * F.greatest(total - have, F.lit(1.0)))
-    best = counts.where(have >= min_documents).orderBy(chi2.desc(), "feature").limit(max_features).select("feature").collect()
+    w0, w1 = stands_for.get(0, 1.0), stands_for[1]
+    all0, all1 = n0 * w0, n1 * w1
+    total, have = all0 + all1, F.col("n0") * w0 + F.col("n1") * w1
+    gap = F.col("n1") * w1 * F.lit(all0) - F.col("n0") * w0 * F.lit(all1)
+    chi2 = total * gap * gap / (F.lit(max(all0, 1.0) * all1) * have * F.greatest(total - have, F.lit(1.0)))
+    best = counts.where(F.col("n0") + F.col("n1") >= min_documents).orderBy(chi2.desc(), "feature").limit(max_features).select("feature").collect()
     vocabulary = {r["feature"]: k for k, r in enumerate(best)}
     rows = sample.select("label", "text").mapInArrow(_known_features(vocabulary), "label int, blank int, lengths array<int>, ids array<int>").toPandas()
-    w, bias = fit_noisy_or(rows["label"].to_numpy(), rows["blank"].to_numpy(), list(rows["lengths"]), list(rows["ids"]), len(vocabulary))
+    label = rows["label"].to_numpy()
+    w, bias = fit_noisy_or(label, rows["blank"].to_numpy(), list(rows["lengths"]), list(rows["ids"]), len(vocabulary), weight=np.where(label == 1, w1, w0))
     return ToxicityModel({f: float(w[k]) for f, k in vocabulary.items() if abs(w[k]) > 1e-3}, bias)
 
 

@@ -217,6 +217,16 @@ def test_noisy_or_finds_the_offending_sentence(spark):
     assert [r["_tx"]["score"] for r in toxicity.score(rows, model).collect()][1] == 0.0
 
 
+def test_toxicity_scores_do_not_shift_where_the_caps_bind(spark):
+    # Half of the texts with "murky" are toxic; every tenth text is.
+    rows = [(i, f"{'murky' if i % 100 < 9 or i % 10 == 9 and i % 100 < 90 else 'plain'} words here", int(i % 10 == 9)) for i in range(6000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    scores = []
+    for caps in ({}, {"max_clean": 1200}, {"max_clean": 1200, "max_toxic": 400}):
+        scores.append(toxicity.fit(docs.select("doc_id", "text"), docs.select("doc_id", "toxic"), **caps).score("murky words here")[0])
+    assert max(scores) - min(scores) < 0.08 and max(scores) < 0.7
+
+
 def test_scorers_take_odd_rows(spark, odd):
     labels = spark.createDataFrame([(3, 1, 0), (4, 0, 1), (5, 1, None), (None, 0, 0)], "doc_id long, quality int, toxic int")
     for module in (toxicity, pairwise_quality):
