@@ -28,6 +28,17 @@ HOST_WEIGHT, DOMAIN_WEIGHT, TABLE_WEIGHT = 5.0, 20.0, 2.0  # pseudo-counts of th
 MAX_LANGUAGES = 200
 UNSHOWN = re.compile(r"<(script|style|noscript|template)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>", re.S | re.I)
 SPACE = re.compile(r"[\W\d_]+")
+#: Comments and elements whose content is not markup of the page (left open, they run to its end), and html start tags.
+ROOT = re.compile(r"<!--(?:-?>|.*?(?:--!?>|\Z))|<(script|style|title|textarea|template|iframe|xmp|noembed|noframes)\b.*?(?:</\1\s*>|\Z)|<html\b([^>]*)", re.S | re.I | re.A)
+DECLARED = re.compile(r"\blang\s*=\s*[\"']?([a-z]{2,3})", re.I | re.A)
+
+
+def declaration(page: str) -> str:
+    """The lower-cased language of the first html start tag that names one, wherever in the page it is; '' without one."""
+    for m in ROOT.finditer(page):
+        if m[2] and (found := DECLARED.search(m[2])):
+            return found[1].lower()
+    return ""
 
 
 def trigrams(text: str) -> np.ndarray:
@@ -76,11 +87,11 @@ def log_likelihoods(pages: DataFrame, table: np.ndarray, id_col: str, url_col: s
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         logp = sent.value
         for b in batches:
-            out = [logp[trigrams(UNSHOWN.sub(" ", x or ""))].sum(axis=0, dtype=np.float64).tolist() for x in b.column(3).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(out, pa.list_(pa.float64()))], names=["id", "url", "declared", "text_ll"])
+            sources = [x or "" for x in b.column(2).to_pylist()]
+            out = [logp[trigrams(UNSHOWN.sub(" ", x))].sum(axis=0, dtype=np.float64).tolist() for x in sources]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(map(declaration, sources), pa.string()), pa.array(out, pa.list_(pa.float64()))], names=["id", "url", "declared", "text_ll"])
 
-    declared = F.lower(F.regexp_extract(F.coalesce(F.col(html_col), F.lit("")), r"(?is)^.{0,2000}?<html\b[^>]*?\blang\s*=\s*[\"']?([a-z]{2,3})", 1))
-    rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), declared.alias("declared"), F.col(html_col).alias("html"))
+    rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
     return rows.mapInArrow(run, f"id {kind}, url string, declared string, text_ll array<double>")
 
 

@@ -295,6 +295,17 @@ def test_language_id(spark, docs):
     assert got["lang"].notna().all() and got["probability"].between(0, 1).all()
 
 
+def test_declared_language_is_found_anywhere(spark, docs):
+    texts = {
+        "de": ["<html lang=de>", "<!-- " + "licence " * 500 + "-->\n<!DOCTYPE html><HTML class='x' LANG='DE-at'>", "\n" * 50_000 + "<html\nlang = \"de\">", "<html class=a>" + "x" * 3000 + "<html lang=de>"],
+        "none": ["", "<p>x</p>", "<html>" + "x" * 3000 + "<script>var s = '<html lang=\"fr\">'</script>", "<!-- <html lang=fr> --><html><p>lang=fr</p>", "<html" * 5000],
+    }
+    rows = [(k, "u", t, c) for k, (c, t) in enumerate((c, t) for c, ts in texts.items() for t in ts)]
+    pages = spark.createDataFrame([r[:3] for r in rows], "page_id long, url string, html string")
+    got = {r["page_id"]: r["declared"] for r in language_id.identify(pages, docs).collect()}
+    assert got == {r[0]: r[3] for r in rows}
+
+
 def test_pipeline_against_brute_force(spark):
     out = corpus_pipeline.run(spark, SF_SMALL)
     docs = {r["doc_id"]: r for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()}
