@@ -29,7 +29,8 @@ from churnlake.llm.common import md5_unit, text_batches
 # HTML element names by kind, and attribute tokens by what they commonly name.
 BLOCK = frozenset("html body article section main aside nav header footer div p ul ol li dl dt dd table thead tbody tfoot tr td th caption h1 h2 h3 h4 h5 h6 hgroup blockquote pre figure figcaption form fieldset legend details summary address center hr dialog menu search label select option button".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-UNSHOWN = frozenset("script style title noscript template svg math iframe object canvas audio video textarea".split())
+UNSHOWN = frozenset("script style title noscript template svg iframe object canvas audio video textarea".split())
+CLOSED = frozenset("svg object canvas audio video".split())  # of these, ordinary elements: without an end tag only the start tag is skipped
 ENDED_BY = {"li": ("li", "ul ol menu"), "dt": ("dt dd", "dl"), "dd": ("dt dd", "dl"), "tr": ("tr td th", "table"), "td": ("td th", "tr table"), "th": ("td th", "tr table"), "option": ("option", "select")}
 ENDED_BY = {k: (frozenset(a.split()), frozenset(b.split())) for k, (a, b) in ENDED_BY.items()}
 TOKENS = {
@@ -53,6 +54,19 @@ NAMES = re.compile(r"(?:class|id|role|data-main)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>
 WORDS = re.compile(r"[a-z][a-z-]*")
 
 
+def closed_ends(name: str, source: str) -> dict[int, int]:
+    """Where the element ends, by the end of its start tag, for all that have an end tag; one pass over the page."""
+    tags = re.compile(rf"<!--.*?(?:-->|\Z)|<(script|style)\b.*?(?:</\1\s*>|\Z)|<(/?){name}(?=[\s/>])((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S | re.I)
+    ends, open_at = {}, []
+    for m in tags.finditer(source):
+        if m[2]:
+            if open_at:
+                ends[open_at.pop()] = m.end()
+        elif m[2] == "" and not m[3].endswith("/"):
+            open_at.append(m.end())
+    return ends
+
+
 class Page:
     """Block elements in page order: tag, attribute text, parent, depth; and blocks of text with their element."""
 
@@ -66,6 +80,7 @@ def parse(source: str) -> Page:
     """A forgiving reader: unclosed p, li, cell and inline elements end where HTML ends them; stray end tags are skipped."""
     page, stack, buffer, at, linked = Page(), [("body", 0)], [], 0, 0
     owner, links, size = 0, 0, len(source)
+    ends: dict[str, dict[int, int]] = {}
 
     def flush() -> None:
         nonlocal linked
@@ -109,8 +124,12 @@ def parse(source: str) -> Page:
                 pop_to(k)
             continue
         if name in UNSHOWN:
-            end = re.compile(rf"</{re.escape(name)}\b[^>]*>|\Z", re.I).search(source, at)
-            at = end.end() if not m[3].endswith("/") or name in ("script", "style") else at
+            if name in CLOSED:
+                if name not in ends:
+                    ends[name] = closed_ends(name, source)
+                at = ends[name].get(at, at)
+            elif not m[3].endswith("/") or name in ("script", "style"):
+                at = re.compile(rf"</{re.escape(name)}\b[^>]*>|\Z", re.I).search(source, at).end()
             if name != "title":
                 buffer.append(" ")
             continue

@@ -280,6 +280,15 @@ def test_parser_and_decoding():
     assert html_extract.decode(page, p) == ["One two", "three four", "x", "y", "tail"]
 
 
+def test_parser_keeps_text_after_unclosed_elements_and_in_formulas():
+    texts = lambda source: [t for _, t, _ in html_extract.parse(source).blocks]
+    for name in ("svg", "object", "canvas", "audio", "video"):
+        assert texts(f"<p>a</p><{name} class=x><p>b</p><p>c <{name}>gone</{name}> d</p>") == ["a", "b", "c d"]
+        assert texts(f"<p>a <{name}>x<{name}>y</{name}>z</{name.upper()}> b</p><{name}/><p>c</p>") == ["a b", "c"]
+    assert texts("<p>so <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds</p>") == ["so x=2 holds"]
+    assert texts("<p>a</p><script>var b = '<p>c</p>'") == ["a"]
+
+
 def test_boosted_trees_learn_an_interaction():
     x = np.random.default_rng(0).random((2000, 3))
     y = ((x[:, 0] > 0.5) ^ (x[:, 1] > 0.5)).astype(float)
