@@ -16,6 +16,7 @@ from __future__ import annotations
 import html
 import random
 import re
+from bisect import insort
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from churnlake.llm.boosting import fit_boosted_trees, predict
-from churnlake.llm.common import md5_unit, text_batches
+from churnlake.llm.common import md5_unit, stage, text_batches
 
 # HTML element names by kind, and attribute tokens by what they commonly name.
 BLOCK = frozenset("html body article section main aside nav header footer div p ul ol li dl dt dd table thead tbody tfoot tr td th caption h1 h2 h3 h4 h5 h6 hgroup blockquote pre figure figcaption form fieldset legend details summary address center hr dialog menu search label select option button".split())
@@ -348,13 +349,50 @@ def node_labels(page: Page) -> np.ndarray:
     return np.where(total == 0, -1, np.where(count[:, 1] == total, 1, np.where(count[:, 0] == total, 0, -1)))
 
 
+def has_main_text(page: Page) -> bool:
+    """Whether the page labels itself: it has text in an article element."""
+    return "article" in page.tag and any(inside(page, o, "article") for o, _, _ in page.blocks)
+
+
+def _first_labelled(most: int):
+    """(u, digest, labelled) per task: its first ``most`` pages by (u, digest) that label themselves, and one page with text that does not."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best, other = [], []
+        for b in batches:
+            for u, digest, source in zip(*(c.to_pylist() for c in b.columns)):
+                if len(best) == most and (u, digest) >= best[-1]:
+                    continue  # not parsed: too late in the order
+                if has_main_text(parse(source)):
+                    if (u, digest) not in best:
+                        insort(best, (u, digest))
+                        del best[most:]
+                elif not other:
+                    other.append((u, digest))
+        rows = [(*x, True) for x in best] + [(*x, False) for x in other]
+        cols = list(zip(*rows)) or [()] * 3
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.float64(), pa.int64(), pa.bool_()))], names=["u", "digest", "labelled"])
+
+    return run
+
+
 def fit(pages: DataFrame, max_pages: int = 300, copies: int = 3, seed: int = 7, id_col: str = "page_id", html_col: str = "html") -> dict[str, np.ndarray]:
-    """Trees from at most ``max_pages`` pages of under 20,000 characters (by a hash of the id) and ``copies`` new layouts of each."""
-    picked = pages.where(F.length(html_col) < 20_000).select(F.col(id_col).alias("id"), F.col(html_col).alias("html"))
-    sample = [r["html"] for r in picked.orderBy(md5_unit("page:", F.col("id")), "id").limit(max_pages).collect()]
+    """Trees from at most ``max_pages`` pages of any length (by a hash of the id) and ``copies`` new layouts of each.
+
+    Only pages with text in an article element can label themselves; others are not sampled, equal rows once. If none can though
+    some page is not blank, ValueError is raised. A table without such pages gets a placeholder model, as all its texts are empty.
+    """
+    text_batches(pages.sparkSession)
+    keyed = pages.where(F.col(html_col).rlike(r"\S")).select(md5_unit("page:", F.col(id_col)).alias("u"), F.xxhash64(html_col).alias("digest"), F.col(html_col).alias("html"))
+    found = stage(keyed.mapInArrow(_first_labelled(max_pages), "u double, digest long, labelled boolean"), "labelled")
+    picked = stage(found.where("labelled").select("u", "digest").distinct().orderBy("u", "digest").limit(max_pages), "picked")
+    rows = keyed.join(F.broadcast(picked), ["u", "digest"]).dropDuplicates(["u", "digest"]).collect()  # at most max_pages pages
+    if not rows and not found.isEmpty():
+        raise ValueError("no page has text in an article element to learn from")
+    sample = [r["html"] for r in sorted(rows, key=lambda r: (r["u"], r["digest"]))]
     rng = random.Random(seed)
     real = [parse(s) for s in sample] or [parse("<article><p>a</p></article>")]
-    pieces = [t for p in real for _, t, _ in p.blocks] or ["a"]
+    pieces = [t for p in real for _, t, _ in p.blocks]
     laid = real + [parse(relaid(p, pieces, rng)) for p in real for _ in range(copies)]
     x, _ = node_features(laid)
     y = np.concatenate([node_labels(p) for p in laid])

@@ -289,6 +289,22 @@ def test_parser_keeps_text_after_unclosed_elements_and_in_formulas():
     assert texts("<p>a</p><script>var b = '<p>c</p>'") == ["a"]
 
 
+def test_extraction_learns_from_pages_of_any_length_with_an_article(spark):
+    said = "Some main text, of one sentence. "
+    long = [(i if i else None, "u", f"<nav><a href=/>Home</a></nav><div><article><p>{said * 700}{i}</p></article></div><footer><p>Legal</p></footer>") for i in range(30)]
+    without = [(100 + i, "u", f"<div><p>{said * 5}</p></div>") for i in range(30)]
+    schema = "page_id long, url string, html string"
+    frame = spark.createDataFrame([*long, *long, *without], schema)
+    model = html_extract.fit(frame, max_pages=20)
+    for r in html_extract.extract(frame.limit(30), model).collect():
+        assert r["text"] == " ".join((said * 700).split()) + f" {r['page_id'] or 0}"
+    only = html_extract.fit(spark.createDataFrame([*long, *long], schema), max_pages=20)
+    assert all(np.array_equal(model[k], only[k]) for k in model)
+    with pytest.raises(ValueError):
+        html_extract.fit(spark.createDataFrame(without, schema))
+    html_extract.fit(spark.createDataFrame([(1, "u", None), (2, "u", " ")], schema))
+
+
 def test_boosted_trees_learn_an_interaction():
     x = np.random.default_rng(0).random((2000, 3))
     y = ((x[:, 0] > 0.5) ^ (x[:, 1] > 0.5)).astype(float)
