@@ -22,7 +22,7 @@ from itertools import combinations, repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from churnlake.llm.common import long_literal, stage, text_batches, utf8
@@ -151,6 +151,15 @@ def components(edges: DataFrame) -> DataFrame:
         edges = stage(_star(stage(_star(edges, True), "large"), False), "small")
 
 
+def _rooted(rows: DataFrame, bucket_cap: int) -> DataFrame:
+    """(fp, least, root): every different fingerprint of ``rows``, its smallest id and the smallest fingerprint of its component."""
+    fps = stage(rows.groupBy("fp").agg(F.min("id").alias("least")), "distinct")
+    member = components(links(fps.select("fp"), bucket_cap))
+    member = member.select(F.col("u").alias("fp"), F.col("v").alias("root"))
+    rooted = fps.join(member, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    return stage(rooted, "rooted")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, bucket_cap: int = 8192) -> DataFrame:
     """One row per input row: id, fp (signed long), component_id (smallest id reachable over links).
 
@@ -159,18 +168,34 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Repeated rows are in one component. Other columns are not read. An empty table gives an empty result.
     """
     rows = stage(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
-    fps = stage(rows.groupBy("fp").agg(F.min("id").alias("least")), "distinct")
-    member = components(links(fps.select("fp"), bucket_cap))
-    member = member.select(F.col("u").alias("fp"), F.col("v").alias("root"))
-    rooted = fps.join(member, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    rooted = stage(rooted, "rooted")
+    rooted = _rooted(rows, bucket_cap)
     ids = stage(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "ids")
     ids = stage(rooted.join(ids, "root").select("fp", "component_id"), "labels")
     return rows.join(ids, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
-    """The rows of ``docs`` with the smallest id of their component; all columns. Rows with a null id stay."""
-    found = near_duplicates(docs, id_col, text_col, shingle)
-    gone = stage(found.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("_sh_gone")).distinct(), "gone")
-    return docs.join(gone, F.col(id_col) == F.col("_sh_gone"), "left_anti")
+    """One row of ``docs`` per component, all columns: that of the smallest (id, fingerprint, text digest), null ids last.
+
+    Rows are told apart by id and text digest, so repeated and null ids are decided row by row; of rows equal in both one stays.
+    """
+    digest = F.xxhash64(F.col(text_col))
+    keys = docs.select(F.struct(F.col(id_col).alias("id"), digest.alias("digest")).alias("key"), F.col(text_col).alias("text"))
+    found = fingerprints(keys, "key", "text", shingle).select(F.col("id.id").alias("id"), F.col("id.digest").alias("digest"), "fp")
+    rows = stage(found.groupBy("id", "digest", "fp").agg(F.count(F.lit(1)).alias("n")), "fingerprints")
+    rows = rows.join(_rooted(rows, 8192).select("fp", "root"), "fp")
+    place = F.struct(F.col("id").isNull().alias("last"), "id", "fp", "digest")
+    first = stage(rows.groupBy("root").agg(F.min(place).alias("first"), F.sum("n").alias("size")).where("size > 1"), "first")
+    crowd = stage(rows.join(first, "root").select("id", "digest", "n", (place == F.col("first")).alias("stays")), "crowd")
+
+    def same(other: DataFrame) -> Column:
+        return F.col(id_col).eqNullSafe(other["_sh_id"]) & (digest == other["_sh_digest"])
+
+    named = crowd.select(F.col("id").alias("_sh_id"), F.col("digest").alias("_sh_digest"), "n", "stays")
+    gone = named.where("not stays or n > 1").select("_sh_id", "_sh_digest")
+    left = docs.join(gone, same(gone), "left_anti")
+    again = named.where("stays and n > 1").select("_sh_id", "_sh_digest")  # rows equal in id and text: one of them stays
+    if again.isEmpty():
+        return left
+    repeated = docs.join(again, same(again)).dropDuplicates(["_sh_id", "_sh_digest"])
+    return left.unionAll(repeated.select(*docs.columns))

@@ -125,6 +125,24 @@ def test_near_duplicates_against_brute_force(odd, docs):
         assert got == expected
 
 
+def test_near_copies_are_dropped_by_row(spark, odd):
+    rows = [
+        (1, "near copies of one text"), (7, "near copies of one TEXT"), (7, "a text of its own, all alone"),  # 7 is not one document
+        (2, "twice the same"), (2, "twice the same"), (2, "twice THE same"), (3, "twice the same"),
+        (None, "without an id"), (None, "WITHOUT an id"), (None, "without an id"), (None, "another one without it"), (None, None), (9, ""),
+    ]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    for docs in (frame, odd, odd.limit(0)):
+        got = simhash.drop_near_copies(docs)
+        assert got.columns == docs.columns
+        least = {}
+        for r in docs.collect():
+            f, i = brute_fingerprint(r["text"]) if len(r["text"] or "") < 50_000 else "long", r["doc_id"]
+            least[f] = i if f not in least or least[f] is None else least[f] if i is None else min(i, least[f])
+        # These texts are within three bits of each other only if their fingerprints are equal.
+        assert sorted(((r["doc_id"], brute_fingerprint(r["text"]) if len(r["text"] or "") < 50_000 else "long") for r in got.collect()), key=str) == sorted(((i, f) for f, i in least.items()), key=str)
+
+
 def test_crowded_buckets_lose_no_link(spark):
     rng = random.Random(3)
     fps = set()
