@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Words everywhere: runs of anything but ASCII white space. The same set as bytes.split().
 WORD = r"[^\x20\x09-\x0D]+"
@@ -79,3 +80,25 @@ def md5_unit(seed: str, key: Column) -> Column:
 def held_out(doc_id: Column, folds: int, fold: int) -> Column:
     """crc32 of the id as text leaves ``fold``; a null id is hashed as empty text."""
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))), F.lit(folds)) == F.lit(fold)
+
+
+def with_made_columns(df: DataFrame, sources: list[str], added: dict[str, T.DataType], start: Callable[[], Callable[..., list[list]]]) -> DataFrame:
+    """``df`` with new binary or string columns (replacing any of their names), made batch by batch from the values of ``sources``.
+
+    ``start`` is called once a task; what it returns takes one list of values a source and gives one list a new column.
+    """
+    kept = [c for c in df.columns if c not in added]
+    schema = T.StructType([*df.select(*kept).schema.fields, *(T.StructField(c, t) for c, t in added.items())])
+    types = [pa.binary() if isinstance(t, T.BinaryType) else pa.string() for t in added.values()]
+    read = [*kept, *(c for c in sources if c not in kept)]
+    places = [read.index(c) for c in sources]
+    names = [*kept, *added]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        work = start()
+        for b in batches:
+            made = work(*(b.column(k).to_pylist() for k in places))
+            yield pa.RecordBatch.from_arrays([*(b.column(k) for k in range(len(kept))), *(pa.array(v, t) for v, t in zip(made, types))], names=names)
+
+    text_batches(df.sparkSession)
+    return df.select(*read).mapInArrow(run, schema)

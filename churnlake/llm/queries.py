@@ -12,10 +12,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnlake.llm import bpe, exact_dedup, html_extract, language_id, license_scan, mixing, pairwise_quality, quality_rules, simhash, toxicity
+from churnlake.llm import ball_search, bpe, exact_dedup, html_extract, language_id, license_scan, mixing, pairwise_quality, prefix_bpe, quality_rules, simhash, toxicity, whitening
 from churnlake.llm.common import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,6 +69,25 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(pages, html_extract.fit(pages)).withColumn("n_chars", F.length("text").cast("long"))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ball_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    made = prefix_bpe.round_trip(docs, RANKS, public_tokenizers.PATTERN).drop("text")
+    return made.select(
+        "doc_id",
+        (F.octet_length("token_ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("token_ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 OP6_SQL = """
 WITH d AS (SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS text_sha256 FROM documents),
 g AS (SELECT *, max(doc_id) OVER (PARTITION BY text_sha256) AS keep_id, count(*) OVER (PARTITION BY text_sha256) AS group_size,
@@ -91,10 +111,24 @@ c AS (SELECT s.*, q.total, q.target, q.whole, q.target - q.whole * q.total AS ne
 SELECT doc_id, size, total AS source_size, target, CAST(size * (whole + CASE WHEN need > 0 AND middle <= need THEN 1 ELSE 0 END) AS BIGINT) AS taken FROM c"""
 
 
+OP12_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents WHERE text IS NOT NULL),
+size AS (SELECT CAST(count(*) AS BIGINT) AS N, CAST(sum(len(terms)) AS BIGINT) AS L FROM d WHERE len(terms) > 0),
+i AS (SELECT DISTINCT item_id, text FROM benchmark),
+q AS (SELECT DISTINCT item_id, text, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM i),
+tf AS (SELECT row, term, CAST(count(*) AS BIGINT) AS tf FROM (SELECT row, unnest(terms) AS term FROM d) GROUP BY row, term),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * N + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE)) AS BIGINT) AS w FROM tf, size WHERE term IN (SELECT term FROM q) GROUP BY term, N),
+m AS (SELECT row, doc_id, CAST(100 - 90 + ((90 * CAST(len(terms) AS BIGINT) * N) // L) AS BIGINT) AS m FROM d, size),
+s AS (SELECT item_id, q.text, row, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+      FROM q JOIN w USING (term) JOIN tf USING (term) JOIN m USING (row) GROUP BY item_id, q.text, row, doc_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY item_id, text ORDER BY score DESC, doc_id ASC NULLS LAST) AS rank FROM s WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM r WHERE rank <= 10"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    ops = [op1_language_id, op2_license_scan, op3_quality_rules, op4_bpe, op5_quality_classifier, op6_exact_dedup, op7_toxicity, op8_mixing, op9_simhash, op10_html_extraction]
+    ops = [op1_language_id, op2_license_scan, op3_quality_rules, op4_bpe, op5_quality_classifier, op6_exact_dedup, op7_toxicity, op8_mixing, op9_simhash, op10_html_extraction, op11_embedding_whitening, op12_ranked_search, op13_prefix_bpe]
     return {f.__name__: f for f in ops}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_license_scan": license_scan.oracle(), "op6_exact_dedup": OP6_SQL, "op8_mixing": OP8_SQL}
+    return {"op2_license_scan": license_scan.oracle(), "op6_exact_dedup": OP6_SQL, "op8_mixing": OP8_SQL, "op12_ranked_search": OP12_SQL}
