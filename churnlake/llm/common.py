@@ -16,9 +16,12 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``; a scratch folder only where that is unset (tests)."""
+    """The folder all executors share: ``spark.checkpoint.dir``. Where that is unset, a session on one machine (tests) gets a
+    scratch folder, and one on a cluster an error."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="llm-shared-"))
         folder = spark.sparkContext.getCheckpointDir()
     return folder
@@ -41,15 +44,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def text_batches(spark: SparkSession, rows: int = 500) -> None:
-    """Hand at most ``rows`` rows at a time to Python: texts are wide, and Spark's 10,000 rows would fill a task's memory.
+def text_batches(spark: SparkSession, rows: int = 500, size: int = 64 << 20) -> None:
+    """Hand at most ``rows`` rows and about ``size`` bytes at a time to Python: texts are wide, and Spark's 10,000 rows would fill a task's memory.
 
-    A runtime setting of the session, only ever lowered here.
+    Runtime settings of the session, only ever lowered here.
     """
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    now = int(spark.conf.get(key))
-    if now <= 0 or now > rows:
-        spark.conf.set(key, str(rows))
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", rows), ("spark.sql.execution.arrow.maxBytesPerBatch", size)):
+        now = spark.conf.get(key).lower().removesuffix("b")
+        if not now.lstrip("-").isdigit() or int(now) <= 0 or int(now) > most:
+            spark.conf.set(key, str(most))
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
