@@ -16,12 +16,12 @@ from __future__ import annotations
 import html
 import random
 import re
-from bisect import insort
+from bisect import bisect_right, insort
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnlake.llm.boosting import fit_boosted_trees, predict
@@ -48,23 +48,70 @@ TOKENS = {
 }
 TOKEN_GROUP = {w: k for k, words in enumerate(TOKENS.values()) for w in words.split()}
 GROUPS = len(TOKENS)
+CONTENT = 1 << list(TOKENS).index("content")
+NEVER_MAIN = sum(1 << k for k, name in enumerate(TOKENS) if name in ("menu", "advert", "notice", "form", "comment"))
 TAGS = ["body", "article", "section", "main", "aside", "nav", "header", "footer", "div", "p", "ul", "li", "table", "heading", "form", "blockquote", "other"]
 TAG_NUMBER = {t: k for k, t in enumerate(TAGS)} | {f"h{k}": TAGS.index("heading") for k in range(1, 7)} | {t: TAGS.index("form") for t in "fieldset legend label select option button search".split()} | {"ol": TAGS.index("ul"), "menu": TAGS.index("ul"), "pre": TAGS.index("blockquote"), "tr": TAGS.index("table"), "td": TAGS.index("table"), "th": TAGS.index("table")}
-MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/a-zA-Z][^>]*>", re.S)
-NAMES = re.compile(r"(?:class|id|role|data-main)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
+# A tag after its "<" or "</": name, then attributes up to ">". Values may be quoted; a quote elsewhere, or one that never closes, is a character like any other.
+TAG = re.compile(r"""([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>]*+))*+)>""")
+NAMES = re.compile(r"(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
 WORDS = re.compile(r"[a-z][a-z-]*")
 
 
-def closed_ends(name: str, source: str) -> dict[int, int]:
-    """Where the element ends, by the end of its start tag, for all that have an end tag; one pass over the page."""
-    tags = re.compile(rf"<!--.*?(?:-->|\Z)|<(script|style)\b.*?(?:</\1\s*>|\Z)|<(/?){name}(?=[\s/>])((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S | re.I)
-    ends, open_at = {}, []
-    for m in tags.finditer(source):
-        if m[2]:
-            if open_at:
-                ends[open_at.pop()] = m.end()
-        elif m[2] == "" and not m[3].endswith("/"):
-            open_at.append(m.end())
+RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])", re.I) for name in UNSHOWN}
+
+
+def tags(source: str) -> list[tuple[int, int, bool, str, str]]:
+    """(begin, end, whether an end tag, lower-case name, attributes) of all tags, from left to right in one pass.
+
+    Comments and declarations come with an empty name; what holds raw text (script, style, ...) reaches to its end tag's end, or the page's. Where a
+    tag never ends because a quote swallows the rest of the page, this and all later tags end at their next ">" instead.
+    """
+    out, at, last, quotes = [], 0, source.rfind(">"), True
+    while 0 <= (begin := source.find("<", at)) < last:
+        mark = source[begin + 1 : begin + 2]
+        if mark in ("!", "?"):
+            if source.startswith("<!--", begin):
+                end = source.find("-->", begin + 2)
+                end = end + 3 if end >= 0 else len(source)
+            else:
+                end = source.find(">", begin) + 1
+            out.append((begin, end, False, "", ""))
+            at = end
+            continue
+        closing = mark == "/"
+        first = source[begin + 1 + closing : begin + 2 + closing]
+        if not (first.isascii() and first.isalpha()):
+            at = source.find(">", begin) + 1 if closing else begin + 1
+            if closing:
+                out.append((begin, at, False, "", ""))
+            continue
+        m = TAG.match(source, begin + 1 + closing) if quotes else None
+        if m:
+            name, attrs, at = m[1].lower(), m[2], m.end()
+        else:
+            quotes, at = False, source.find(">", begin) + 1
+            inner = source[begin + 1 + closing : at - 1]
+            name = re.match(r"[^\s/]*", inner)[0].lower()
+            attrs = inner[len(name) :]
+        if name in RAW_END and name not in CLOSED and not closing and (name in ("script", "style") or not attrs.endswith("/")):
+            e = RAW_END[name].search(source, at)
+            at = source.find(">", e.end()) + 1 if e else len(source)
+            at = at or len(source)
+        out.append((begin, at, closing, name, attrs))
+    return out
+
+
+def closed_ends(found: list[tuple[int, int, bool, str, str]]) -> dict[int, int]:
+    """Of each svg, object, ... with an end tag: the number of that end tag, by the number of its start tag."""
+    ends, open_at = {}, {name: [] for name in CLOSED}
+    for k, (_, _, closing, name, attrs) in enumerate(found):
+        if name in CLOSED:
+            if not closing:
+                if not attrs.endswith("/"):
+                    open_at[name].append(k)
+            elif open_at[name]:
+                ends[open_at[name].pop()] = k
     return ends
 
 
@@ -78,10 +125,17 @@ class Page:
 
 
 def parse(source: str) -> Page:
-    """A forgiving reader: unclosed p, li, cell and inline elements end where HTML ends them; stray end tags are skipped."""
-    page, stack, buffer, at, linked = Page(), [("body", 0)], [], 0, 0
-    owner, links, size = 0, 0, len(source)
-    ends: dict[str, dict[int, int]] = {}
+    """A forgiving reader: unclosed p, li, cell and inline elements end where HTML ends them; stray end tags are skipped.
+
+    Linear in the page but for look-ups among open elements of one name, which are by bisection.
+    """
+    page, buffer, at, linked = Page(), [], 0, 0
+    stack = [("body", 0)]  # open elements: name, node (-1: inline)
+    blocks = [0]  # places in the stack of the block elements
+    places: dict[str, list[int]] = {}  # of each open element's name, its places in the stack
+    owner, links, number = 0, 0, 0
+    found = tags(source)
+    ends = closed_ends(found)
 
     def flush() -> None:
         nonlocal linked
@@ -98,76 +152,71 @@ def parse(source: str) -> Page:
         if links:
             linked += len(part.strip())
 
+    def push(name: str, node: int) -> None:
+        places.setdefault(name, []).append(len(stack))
+        if node >= 0:
+            blocks.append(len(stack))
+        stack.append((name, node))
+
     def pop_to(k: int) -> None:
         nonlocal owner, links
-        for name, _ in stack[k:]:
+        while len(stack) > k:
+            name, node = stack.pop()
+            places[name].pop()
             links -= name == "a"
-        del stack[k:]
-        owner = next(node for _, node in reversed(stack) if node >= 0)
-
-    while m := MARKUP.search(source, at):
-        if m.start() > at:
-            text(source[at : m.start()])
-        at = m.end()
-        if not m[2]:
+            if node >= 0:
+                blocks.pop()
+        owner = stack[blocks[-1]][1]
+
+    while number < len(found):
+        begin, end, closing, name, attrs = found[number]
+        number += 1
+        if begin > at:
+            text(source[at:begin])
+        at = end
+        if not name:
             continue
-        name = m[2].lower()
-        if m[1]:
+        if closing:
             if name in BLOCK:
                 flush()
-                k = next((k for k in range(len(stack) - 1, 0, -1) if stack[k][0] == name), 0)
-            else:
-                k = len(stack) - 1
-                while k > 0 and stack[k][1] < 0 and stack[k][0] != name:
-                    k -= 1
-                k = k if stack[k][0] == name else 0
-            if k:
+            k = places[name][-1] if places.get(name) else 0
+            if k and (name in BLOCK or k > blocks[-1]):  # an inline element does not end across a block
                 pop_to(k)
             continue
         if name in UNSHOWN:
-            if name in CLOSED:
-                if name not in ends:
-                    ends[name] = closed_ends(name, source)
-                at = ends[name].get(at, at)
-            elif not m[3].endswith("/") or name in ("script", "style"):
-                at = re.compile(rf"</{re.escape(name)}\b[^>]*>|\Z", re.I).search(source, at).end()
+            if number - 1 in ends:
+                number = ends[number - 1] + 1
+                at = found[number - 1][1]
             if name != "title":
                 buffer.append(" ")
             continue
         if name in VOID and name != "hr":
-            buffer.append(" " if name in ("br", "wbr", "img", "input") and name != "wbr" else "")
+            buffer.append(" " if name in ("br", "img", "input") else "")
             continue
         if name in BLOCK:
             flush()
-            if stack[-1][1] < 0 or stack[-1][0] == "p":  # a p ends at the next block, and inline elements in it
-                k = len(stack) - 1
-                while k > 0 and stack[k][1] < 0:
-                    k -= 1
-                if k and stack[k][0] == "p":
-                    pop_to(k)
+            if stack[blocks[-1]][0] == "p" and blocks[-1]:  # a p ends at the next block, and inline elements in it
+                pop_to(blocks[-1])
             if name in ("html", "body"):
                 continue
             if name in ENDED_BY:
-                ends, stop = ENDED_BY[name]
-                k = len(stack) - 1
-                last = 0
-                while k > 0 and stack[k][0] not in stop:
-                    last = k if stack[k][0] in ends else last
-                    k -= 1
+                before, within = ENDED_BY[name]
+                stop = max((places[x][-1] for x in within if places.get(x)), default=0)
+                last = min((places[x][k] for x in before if x in places and (k := bisect_right(places[x], stop)) < len(places[x])), default=0)
                 if last:
                     pop_to(last)
             if name == "hr":
                 continue
             page.tag.append(name)
-            page.attrs.append(m[3])
+            page.attrs.append(attrs)
             page.parent.append(owner)
             page.depth.append(page.depth[owner] + 1)
             owner = len(page.tag) - 1
-            stack.append((name, owner))
-        elif not m[3].endswith("/"):
-            stack.append((name, -1))
+            push(name, owner)
+        elif not attrs.endswith("/"):
+            push(name, -1)
             links += name == "a"
-    if at < size:
+    if at < len(source):
         text(source[at:])
     flush()
     return page
@@ -288,15 +337,33 @@ def relaid(page: Page, pieces: list[str], rng: random.Random) -> str:
     named = lambda group: f'{rng.choice(["class", "id"])}="{rng.choice(TOKENS[group].split())}"'
     paragraphs = lambda n: "".join(f"<p>{say(rng.randint(5, 60))}</p>" for _ in range(n))
     listed = lambda n: "<ul>" + "".join(f"<li>{link()}</li>" for _ in range(n)) + "</ul>"
-    body = "".join(f"<{t}>{html.escape(b)}</{t}>" for k, b in enumerate(main) for t in ["h1" if k == 0 else rng.choice(["p", "p", "p", "p", "blockquote", "li"])])
+    if rng.random() < 0.25:  # a short article
+        main = main[: rng.randint(1, 3)]
+    icon = lambda: rng.choice(["", "", '<svg width="9"><title>x</title><path d="M0 0"/></svg>', "<img src=x>"])
+    made = []
+    for k, b in enumerate(main):
+        shape, b = rng.random(), html.escape(b)
+        if k == 0:
+            made.append(f"<h1>{b}</h1>" if rng.random() < 0.8 else f"<p>{b}</p>")
+        elif shape < 0.75:
+            made.append(f"<p>{b}</p>")
+        elif shape < 0.82:
+            made.append(f"<blockquote>{b}</blockquote>")
+        elif shape < 0.9:
+            made.append(f"<ul><li>{icon()}{b}<li>{say(rng.randint(3, 25))}</ul>")
+        elif shape < 0.95:
+            made.append(f"<table><tr><td>{b}<td>{say(rng.randint(1, 12))}</table>")
+        else:
+            made.append(f"<div><p>{b}</p></div>")
+    body = "".join(made)
     opened = rng.choice(["article", "main", "div " + named("content"), "section " + named("content"), "div", "article " + named("content")])
     content = f'<{opened} data-main="1">{body}</{opened.split()[0]}>'
     if rng.random() < 0.3:
         content = content.replace("</p>", f'</p><div {named("advert")}>{say(rng.randint(3, 40))}</div>', 1)
     parts = {
         "header": [f"<header><h1>{say(4)}</h1><p>{say(10)}</p></header>", f"<div {named('header')}><p>{say(8)}</p></div>"],
-        "menu": [f"<nav>{listed(rng.randint(2, 9))}</nav>", f"<div {named('menu')}>{listed(rng.randint(2, 9))}</div>", listed(rng.randint(4, 9)), f"<nav>{link()} | {link()} | {link()}</nav>"],
-        "side": [f"<aside>{paragraphs(rng.randint(1, 4))}</aside>", f"<div {named('side')}><h3>{say(3)}</h3>{listed(5)}</div>", f"<aside><h2>{say(2)}</h2>{listed(6)}</aside>"],
+        "menu": [f"<nav>{listed(rng.randint(2, 9))}</nav>", f"<ul {named('menu')}>" + "".join(f"<li>{icon()}{link()}" for _ in range(rng.randint(2, 7))) + "</ul>", f"<div {named('menu')}>{listed(rng.randint(2, 9))}</div>", listed(rng.randint(4, 9)), f"<nav>{link()} | {link()} | {link()}</nav>"],
+        "side": [f"<aside>{paragraphs(rng.randint(1, 4))}</aside>", f"<div {named('side')}>{paragraphs(rng.randint(2, 10))}</div>", f"<div {named('side')}><h3>{say(3)}</h3>{listed(5)}</div>", f"<aside><h2>{say(2)}</h2>{listed(6)}</aside>"],
         "advert": [f"<div {named('advert')}>{say(rng.randint(3, 50))}</div>", f"<section {named('advert')}>{paragraphs(1)}</section>"],
         "notice": [f"<div {named('notice')}><p>{say(rng.randint(8, 40))}</p><button>{say(2)}</button></div>", f'<div role="alert">{say(12)}</div>'],
         "form": [f"<form><label>{say(2)}</label><input><select><option>{say(1)}</option><option>{say(1)}</option></select><button>{say(1)}</button></form>", f"<form {named('form')}><p>{say(rng.randint(4, 30))}</p><input></form>"],
@@ -323,22 +390,25 @@ def inside(page: Page, node: int, tag: str) -> bool:
     return False
 
 
-def node_labels(page: Page) -> np.ndarray:
-    """1 and 0 for nodes whose text is all main or none of it, -1 where it is mixed or there is none."""
-    marked = any("data-main" in a for a in page.attrs)
+def node_labels(page: Page, marked: bool = False) -> np.ndarray:
+    """1 and 0 for nodes whose text is all main or none of it, -1 where it is mixed or there is none.
+
+    ``marked``: a page laid out anew, whose main text is in elements marked data-main="1" (and "0" where it ends). On other
+    pages main text is what the article element holds, without what is named as comments, adverts and the like in it.
+    """
     own = np.zeros(len(page.tag))
     for k, (a, t) in enumerate(zip(page.attrs, page.tag)):
         q = page.parent[k]
         own[k] = own[q] if q >= 0 else 0
+        named = attribute_groups(a)
         if marked:
-            named = attribute_groups(a)
             if 'data-main="1"' in a:
                 own[k] = 1
             elif 'data-main="0"' in a or (own[k] and named):
                 own[k] = 0
         elif t == "article":
-            own[k] = 1
-        elif t in ("nav", "aside", "footer", "header", "form"):
+            own[k] = 0 if named & NEVER_MAIN or (q >= 0 and own[q] == 0 and inside(page, q, "article")) else 1
+        elif t in ("nav", "aside", "footer", "header", "form") or named & NEVER_MAIN or (named & ~CONTENT and not named & CONTENT):
             own[k] = 0
     count = np.zeros((len(page.tag), 2))
     for o, t, _ in page.blocks:
@@ -361,31 +431,35 @@ def _first_labelled(most: int):
         best, other = [], []
         for b in batches:
             for u, digest, source in zip(*(c.to_pylist() for c in b.columns)):
-                if len(best) == most and (u, digest) >= best[-1]:
+                row = (u, digest, len(source))
+                if len(best) == most and row >= best[-1]:
                     continue  # not parsed: too late in the order
                 if has_main_text(parse(source)):
-                    if (u, digest) not in best:
-                        insort(best, (u, digest))
+                    if row not in best:
+                        insort(best, row)
                         del best[most:]
                 elif not other:
-                    other.append((u, digest))
+                    other.append(row)
         rows = [(*x, True) for x in best] + [(*x, False) for x in other]
-        cols = list(zip(*rows)) or [()] * 3
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.float64(), pa.int64(), pa.bool_()))], names=["u", "digest", "labelled"])
+        cols = list(zip(*rows)) or [()] * 4
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.float64(), pa.int64(), pa.int64(), pa.bool_()))], names=["u", "digest", "size", "labelled"])
 
     return run
 
 
-def fit(pages: DataFrame, max_pages: int = 300, copies: int = 3, seed: int = 7, id_col: str = "page_id", html_col: str = "html") -> dict[str, np.ndarray]:
-    """Trees from at most ``max_pages`` pages of any length (by a hash of the id) and ``copies`` new layouts of each.
+def fit(pages: DataFrame, max_pages: int = 300, copies: int = 3, seed: int = 7, max_chars: int = 50_000_000, id_col: str = "page_id", html_col: str = "html") -> dict[str, np.ndarray]:
+    """Trees from at most ``max_pages`` pages and ``max_chars`` characters in all (filled in the order of a hash of the id, the first
+    page of any length) and ``copies`` new layouts of each.
 
     Only pages with text in an article element can label themselves; others are not sampled, equal rows once. If none can though
     some page is not blank, ValueError is raised. A table without such pages gets a placeholder model, as all its texts are empty.
     """
     text_batches(pages.sparkSession)
     keyed = pages.where(F.col(html_col).rlike(r"\S")).select(md5_unit("page:", F.col(id_col)).alias("u"), F.xxhash64(html_col).alias("digest"), F.col(html_col).alias("html"))
-    found = stage(keyed.mapInArrow(_first_labelled(max_pages), "u double, digest long, labelled boolean"), "labelled")
-    picked = stage(found.where("labelled").select("u", "digest").distinct().orderBy("u", "digest").limit(max_pages), "picked")
+    found = stage(keyed.mapInArrow(_first_labelled(max_pages), "u double, digest long, size long, labelled boolean"), "labelled")
+    first = found.where("labelled").select("u", "digest", "size").distinct().orderBy("u", "digest").limit(max_pages)
+    before = F.coalesce(F.sum("size").over(Window.orderBy("u", "digest").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # of at most max_pages rows
+    picked = stage(first.withColumn("before", before).where(F.col("before") < max_chars).select("u", "digest"), "picked")
     rows = keyed.join(F.broadcast(picked), ["u", "digest"]).dropDuplicates(["u", "digest"]).collect()  # at most max_pages pages
     if not rows and not found.isEmpty():
         raise ValueError("no page has text in an article element to learn from")
@@ -393,16 +467,17 @@ def fit(pages: DataFrame, max_pages: int = 300, copies: int = 3, seed: int = 7,
     rng = random.Random(seed)
     real = [parse(s) for s in sample] or [parse("<article><p>a</p></article>")]
     pieces = [t for p in real for _, t, _ in p.blocks]
-    laid = real + [parse(relaid(p, pieces, rng)) for p in real for _ in range(copies)]
-    x, _ = node_features(laid)
-    y = np.concatenate([node_labels(p) for p in laid])
+    laid = [parse(relaid(p, pieces, rng)) for p in real for _ in range(copies)]
+    x, _ = node_features(real + laid)
+    y = np.concatenate([*(node_labels(p) for p in real), *(node_labels(p, True) for p in laid)])
     return fit_boosted_trees(x[y >= 0], y[y >= 0].astype(float))
 
 
 def extract(pages: DataFrame, model: dict[str, np.ndarray], id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """One row per input row: id, url, text. Blocks are joined by a line break, white space inside one is a single space.
 
-    Null and empty pages have an empty text; a page that is all boilerplate too. Other columns are not read.
+    Null and empty pages have an empty text; a page that is all boilerplate too. Repeated rows are extracted alike, one row
+    each; an empty table gives none. Other columns are not read.
     """
     text_batches(pages.sparkSession)
     sent = pages.sparkSession.sparkContext.broadcast(model)  # trees * (2 ** depth) numbers
