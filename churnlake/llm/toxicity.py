@@ -5,7 +5,7 @@ word beginnings); a document's is the noisy-or of its sentences, 1 - prod(1 - p)
 are labelled: the gradient reaches a sentence in proportion to its share of the document's
 score, so training finds out which sentences make a document toxic.
 
-Fitting uses a bounded sample, at most ``max_clean`` and ``max_toxic`` labelled documents, picked
+Fitting uses a bounded sample, at most ``max_clean`` and ``max_toxic`` labelled documents and ``max_chars`` characters of each class, picked
 by a hash of the id. A sampled document counts for all labelled ones of its class, sampled or not (class size by
 sample size), so that the bias and a fixed threshold mean the same at every input size. The document
 frequencies of all features are a grouped aggregate; the ``max_features`` with the largest chi-square are
@@ -22,7 +22,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnlake.llm.common import held_out, md5_unit, stage, text_batches
@@ -117,18 +117,27 @@ def fit_noisy_or(label: np.ndarray, blank: np.ndarray, lengths: list[np.ndarray]
     return w[:size], float(w[size])
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_clean: int = 9000, max_toxic: int = 3000, max_features: int = 500, min_documents: int = 5) -> ToxicityModel:
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_clean: int = 9000, max_toxic: int = 3000, max_features: int = 500, min_documents: int = 5, max_chars: int = 100_000_000) -> ToxicityModel:
     """Train on the rows of ``labels`` (callers leave out what is held out).
 
-    Labels other than 0 and 1 and null ids are ignored; without labelled documents the model scores everything 0.
+    Labels other than 0 and 1 and null ids are ignored; of documents that share an id one counts (by a hash of the text); without
+    labelled documents the model scores everything 0. ``max_chars`` holds for each class: documents are taken in hash order until it is reached.
     """
     text_batches(docs.sparkSession)
     caps = {0: max_clean, 1: max_toxic}
-    known = labels.where(F.col(label_col).isin(*caps) & F.col(id_col).isNotNull()).select(F.col(id_col).alias("_tx_id"), F.col(label_col).cast("int").alias("label")).distinct()
-    stands_for = {r["label"]: max(1.0, r["n"] / max(1, caps[r["label"]])) for r in known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
-    picked = [known.where(F.col("label") == c).orderBy(md5_unit("toxic:", F.col("_tx_id")), "_tx_id").limit(most) for c, most in caps.items()]
+    known = labels.where(F.col(label_col).isin(*caps) & F.col(id_col).isNotNull()).select(F.col(id_col).alias("_tx_id"), F.col(label_col).cast("int").alias("_tx_label")).distinct()
+    stands_for = {r["_tx_label"]: max(1.0, r["n"] / max(1, caps[r["_tx_label"]])) for r in known.groupBy("_tx_label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    picked = [known.where(F.col("_tx_label") == c).orderBy(md5_unit("toxic:", F.col("_tx_id")), "_tx_id").limit(most) for c, most in caps.items()]
     picked = F.broadcast(stage(picked[0].unionAll(picked[1]), "picked"))  # at most max_clean + max_toxic ids
-    sample = stage(docs.join(picked, F.col(id_col) == F.col("_tx_id")).select("label", F.col(text_col).alias("text")), "sample")
+    found = docs.select(F.col(id_col).alias("_tx_key"), F.col(text_col).alias("text")).join(picked, F.col("_tx_key") == F.col("_tx_id"))
+    found = stage(found.groupBy("_tx_id", F.col("_tx_label").alias("label")).agg(F.min_by("text", F.xxhash64("text")).alias("text")), "found")
+    # At most max_clean + max_toxic lengths are ordered here, without their texts.
+    order = Window.partitionBy("label").orderBy(md5_unit("toxic:", F.col("_tx_id")), "_tx_id").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = found.select("_tx_id", "label", F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("size"))
+    within = stage(sizes.withColumn("before", F.coalesce(F.sum("size").over(order), F.lit(0))).withColumn("taken", F.col("before") < max_chars), "within")
+    for r in within.groupBy("label").agg((F.count(F.lit(1)) / F.greatest(F.count_if("taken"), F.lit(1))).alias("cut")).collect():
+        stands_for[r["label"]] *= r["cut"]
+    sample = stage(found.join(F.broadcast(within.where("taken").select("_tx_id", "label")), ["_tx_id", "label"]).select("label", "text"), "sample")
     counts = sample.mapInArrow(_frequencies, "feature string, n0 long, n1 long").groupBy("feature").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
     size = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     n0, n1 = size.get(0, 0), size.get(1, 0)
@@ -189,13 +198,16 @@ def offending_sentences(docs: DataFrame, model: ToxicityModel, id_col: str = "do
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, folds: int = 3, fold: int = 1, threshold: float = 0.7) -> DataFrame:
-    """doc_id, held_out, score, predicted, n_toxic_sentences, worst_sentence of every row; rows held out by crc32 of the id are not trained on."""
+    """doc_id, held_out, score, predicted, n_toxic_sentences, worst_sentence of every row; rows held out by crc32 of the id are not trained on.
+
+    Null and empty texts score 0; repeated rows score alike, one row each; an empty table gives none; other columns are not read.
+    """
     model = fit(docs, labels.where(~held_out(F.col("doc_id"), folds, fold)))
     scored = score(docs.select("doc_id", "text"), model)
     return scored.select("doc_id", held_out(F.col("doc_id"), folds, fold).alias("held_out"), F.col("_tx.score").alias("score"), (F.col("_tx.score") >= threshold).cast("int").alias("predicted"), F.col("_tx.n_sentences").alias("n_toxic_sentences"), F.col("_tx.worst").alias("worst_sentence"))
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, folds: int = 3, fold: int = 1, threshold: float = 0.7) -> DataFrame:
-    """The rows of ``docs`` that score below ``threshold``, all columns."""
+    """The rows of ``docs`` that score below ``threshold``, all columns; null and empty texts and repeated rows stay, an empty table stays empty."""
     model = fit(docs, labels.where(~held_out(F.col("doc_id"), folds, fold)))
     return score(docs, model).where(F.col("_tx.score") < threshold).select(*docs.columns)
