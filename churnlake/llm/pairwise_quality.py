@@ -98,7 +98,8 @@ def score_documents(docs: DataFrame, labels: DataFrame, folds: int = 4, fold: in
     known = labels.where(~held_out(F.col(id_col), folds, fold) & F.col(label_col).isin(0, 1)).select(F.col(id_col).alias("id"), F.col(label_col).alias("label"))
     rows = stage(docs.select(F.col(id_col).alias("id"), features_of(F.col(text_col)).alias("x")), "features")
     picked = [known.where(F.col("label") == c).distinct().orderBy(md5_unit("quality:", F.col("id")), "id").limit(max_per_class) for c in (0, 1)]
-    sample = rows.join(F.broadcast(stage(picked[0].unionAll(picked[1]), "picked")), "id").select("x", "label").toPandas()
+    found = rows.join(F.broadcast(stage(picked[0].unionAll(picked[1]), "picked")), "id")
+    sample = found.groupBy("id", "label").agg(F.min("x").alias("x")).orderBy("id", "label").select("x", "label").toPandas()  # one row for each sampled id
     x = np.array(sample["x"].tolist()).reshape(len(sample), len(FEATURES))
     w = fit_bradley_terry(x, sample["label"].to_numpy())
     raw = F.lit(0.0)
@@ -111,4 +112,5 @@ def score_documents(docs: DataFrame, labels: DataFrame, folds: int = 4, fold: in
     # An odds factor moves 0.5 to the threshold and keeps the order.
     odds = threshold / (1 - threshold)
     score = F.lit(odds) * score / (1 - score + F.lit(odds) * score)
-    return rows.select(F.col("id").alias(id_col), held_out(F.col("id"), folds, fold).alias("held_out"), score.alias("score"), (F.col("raw") >= F.lit(cut)).cast("int").alias("predicted"))
+    scored = rows.select(F.col("id").alias(id_col), held_out(F.col("id"), folds, fold).alias("held_out"), score.alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
