@@ -26,13 +26,34 @@ BUCKETS = 1 << 16
 TEMPER = 0.2
 HOST_WEIGHT, DOMAIN_WEIGHT, TABLE_WEIGHT = 5.0, 20.0, 2.0  # pseudo-counts of the smoothing
 MAX_LANGUAGES = 200
-UNSHOWN = re.compile(r"<(script|style|noscript|template)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>", re.S | re.I)
+UNSHOWN = re.compile(r"<(script|style|noscript|template)\b", re.I)
+UNSHOWN_END = {name: re.compile(rf"</{name}\s*>", re.I) for name in ("script", "style", "noscript", "template")}
 SPACE = re.compile(r"[\W\d_]+")
 #: Comments and elements whose content is not markup of the page (left open, they run to its end), and html start tags.
 ROOT = re.compile(r"<!--(?:-?>|.*?(?:--!?>|\Z))|<(script|style|title|textarea|template|iframe|xmp|noembed|noframes)\b.*?(?:</\1\s*>|\Z)|<html\b([^>]*)", re.S | re.I | re.A)
 DECLARED = re.compile(r"\blang\s*=\s*[\"']?([a-z]{2,3})", re.I | re.A)
 
 
+
+def shown(source: str) -> str:
+    """A page's text: comments, scripts and the like with what they hold, and all other tags, become spaces. Linear: an end that is missing is sought once."""
+    parts, at, last, missing = [], 0, source.rfind(">"), set()
+    while 0 <= (begin := source.find("<", at)) < last:
+        end = 0
+        if source.startswith("<!--", begin) and "-->" not in missing:
+            end = source.find("-->", begin + 4) + 3
+            if end < 3:
+                end = missing.add("-->") or 0
+        elif (m := UNSHOWN.match(source, begin)) and (name := m[1].lower()) not in missing:
+            if e := UNSHOWN_END[name].search(source, m.end()):
+                end = e.end()
+            else:
+                missing.add(name)
+        parts += (source[at:begin], " ")
+        at = end or source.find(">", begin) + 1
+    parts.append(source[at:])
+    return "".join(parts)
+
 def declaration(page: str) -> str:
     """The lower-cased language of the first html start tag that names one, wherever in the page it is; '' without one."""
     for m in ROOT.finditer(page):
@@ -88,7 +109,7 @@ def log_likelihoods(pages: DataFrame, table: np.ndarray, id_col: str, url_col: s
         logp = sent.value
         for b in batches:
             sources = [x or "" for x in b.column(2).to_pylist()]
-            out = [logp[trigrams(UNSHOWN.sub(" ", x))].sum(axis=0, dtype=np.float64).tolist() for x in sources]
+            out = [logp[trigrams(shown(x))].sum(axis=0, dtype=np.float64).tolist() for x in sources]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(map(declaration, sources), pa.string()), pa.array(out, pa.list_(pa.float64()))], names=["id", "url", "declared", "text_ll"])
 
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
