@@ -8,8 +8,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
@@ -31,48 +32,42 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
+    require_checkpoint_dir(spark)
     return spark
 
 
 def require_checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder of the session, for library code.
 
-    Reads ``spark.checkpoint.dir`` (or the context's folder). Library code never
-    invents a machine-local folder: on a cluster it must be a shared store.
+    Reads ``spark.checkpoint.dir`` (or the context's folder). Where neither is set, a session on one machine gets a scratch
+    folder, and one on a cluster an error: there the folder must be a shared store.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    if conf_dir:
-        sc.setCheckpointDir(conf_dir)
-        return sc.getCheckpointDir()
-    raise RuntimeError("set spark.checkpoint.dir to a shared folder before running iterative operators")
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder before running operators that write intermediate tables")
+        folder = tempfile.mkdtemp(prefix="churnlake-ckpt-")
+    sc.setCheckpointDir(folder)
+    return sc.getCheckpointDir()
 
 
-def materialised(df):
-    """``df`` written once to the checkpoint folder and read back as a plain scan.
+def written(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written as Parquet in the shared folder and read back: later readers prune columns and push filters, and the
+    table survives lost executors."""
+    spark = df.sparkSession
+    path = f"{require_checkpoint_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
-    Used for the per-key side of a join: AQE splits a hot key only if both join inputs come
-    straight from a shuffle, which an aggregate on top of its shuffle does not.
-    Where no folder is configured (tests), a scratch one is set.
-    """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
 
+def materialised(df: DataFrame) -> DataFrame:
+    """``df`` written once and read back as a plain scan.
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Tests/bench only: use the configured folder, else a scratch one on this machine."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    if conf_dir:
-        sc.setCheckpointDir(conf_dir)
-        return sc.getCheckpointDir()
-    scratch = tempfile.mkdtemp(prefix="churnlake-ckpt-")
-    sc.setCheckpointDir(scratch)
-    return sc.getCheckpointDir()
+    Used for the per-key side of a join: AQE splits a hot key only if both join inputs come
+    straight from a shuffle or scan, which an aggregate on top of its shuffle does not.
+    """
+    return written(df, "table")
