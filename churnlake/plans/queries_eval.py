@@ -7,12 +7,15 @@ same operators run unchanged on real model scores in the pipelines.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from churnlake.functions.grids import GRID_41, GRID_81, GRID_161, TOP_PCTS_B
 from churnlake.functions.hashing import SCORE_SEEDS, duckdb_hash32, unit_score
 from churnlake.operators import evaluate as I
 from churnlake.plans.catalog import register
+from churnlake.session import require_checkpoint_dir
 from churnlake.sources.accounts import accounts, train_test
 
 TARGET = "exit_status"
@@ -260,6 +263,30 @@ def a2_submission_table(spark, sf_dir):
     return submission_table(test.select("id", unit_score("id", "score").alias("p")), "p", 0.35)
 
 
+@register(
+    "a3_versioned_sink",
+    "SELECT v.version, t.id, CAST(t.p >= v.cut AS INTEGER) AS exit_status FROM (VALUES (1, 0.35::DOUBLE), (2, 0.6::DOUBLE)) AS v(version, cut), "
+    f"(SELECT id, {_p_sql('score')} AS p FROM test) t",
+)
+def a3_versioned_sink(spark, sf_dir):
+    """Two submissions published one after the other, read back by their numbers; the un-numbered copy equals the second."""
+    from churnlake.sources import io as A
+
+    folder = f"{require_checkpoint_dir(spark)}/submissions-{uuid.uuid4().hex}"
+    _, test = train_test(accounts(spark, sf_dir))
+    scored = test.select("id", unit_score("id", "score").alias("p"))
+    first = A.submission_table(scored, "p", 0.35)
+    paths = [A.versioned_sink(spark, first, folder)[0], *A.versioned_sink(spark, A.submission_table(scored, "p", 0.6), folder)]
+
+    def back(path, version):
+        return spark.read.schema(first.schema).option("header", True).csv(path).select(F.lit(version).alias("version"), "*")
+
+    second, latest = back(A.latest_submission(spark, folder), 2), back(paths[2], 2)
+    if A.latest_submission(spark, folder) != paths[1] or not second.exceptAll(latest).isEmpty():
+        raise RuntimeError("the latest copy is not the last one published")
+    return back(paths[0], 1).unionAll(second)
+
+
 @register("a4_id_column_resolve", "SELECT id FROM test")
 def a4_id_column_resolve(spark, sf_dir):
     from churnlake.sources.io import resolve_id_column

@@ -15,9 +15,11 @@ from pyspark.sql import functions as F
 from churnlake.functions.grids import GRID_161
 from churnlake.functions.hashing import duckdb_hash32, hash32
 from churnlake.operators import boosting as B
+from churnlake.operators import encode as D
 from churnlake.operators import evaluate as I
 from churnlake.operators import folds as E
 from churnlake.operators import models as H
+from churnlake.operators import neighbors as N
 from churnlake.operators import search as S
 from churnlake.plans import churn
 from churnlake.plans.catalog import register
@@ -115,6 +117,51 @@ register("h10_boosted_profile_b", _HOLDOUT_SQL)(_boosted_query(B.boosted_profile
 register("h11_boosted_profile_c", _HOLDOUT_SQL)(_boosted_query(B.boosted_profile("c")))
 
 
+NEIGHBOURS = (5, 15)  # fixed values: the neighbour counts voted with
+KNN_NUM, KNN_CAT, KNN_UNIT = churn.BASE_NUM, ["country", "gender"], 1024
+
+
+def _knn_points(train, df):
+    """``df`` with whole-number coordinates: numerics scaled by train's mean and deviation (null: the mean) and one dummy a
+    level of train, in units of 1/1024. Distances are exact, so the SQL form finds the same neighbours."""
+    scaled = D.standard_scale(train, df, KNN_NUM)
+    levels = D.fit_one_hot(train, KNN_CAT, drop_first=False)
+    dummies = [D.dummy_name(c, v) for c, vs in levels.items() for v in vs]
+    numeric = [F.coalesce(F.floor(F.col(c) * KNN_UNIT + 0.5), F.lit(0)) for c in KNN_NUM]
+    units = [F.col(f"`{c}`") * KNN_UNIT for c in dummies]
+    return D.apply_one_hot(scaled, levels).select(*KEEP, F.array(*[c.cast("double") for c in numeric + units]).alias("features"))
+
+
+def _knn_sql() -> str:
+    split = f"""SELECT *, row_number() OVER (PARTITION BY exit_status ORDER BY {duckdb_hash32('id', 'holdout')}, id)
+      <= ceil(count(*) OVER (PARTITION BY exit_status) * 0.2::DOUBLE) AS held FROM {_TRAIN}"""
+    scale = ", ".join(f"avg({c}::DOUBLE) AS m_{c}, CASE WHEN stddev_pop({c}::DOUBLE) = 0 THEN 1.0 ELSE stddev_pop({c}::DOUBLE) END AS s_{c}" for c in KNN_NUM)
+    points = ", ".join(f"coalesce(CAST(floor((p.{c} - s.m_{c}) / s.s_{c} * {KNN_UNIT} + 0.5) AS BIGINT), 0) AS x_{c}" for c in KNN_NUM)
+    # Of two levels that differ, each non-null one that train holds adds one unit squared.
+    known = ", ".join(f"CASE WHEN p.{c} IN (SELECT {c} FROM split WHERE NOT held) THEN p.{c} END AS c_{c}" for c in KNN_CAT)
+    d2 = " + ".join([f"(a.x_{c} - b.x_{c}) * (a.x_{c} - b.x_{c})" for c in KNN_NUM]
+                    + [f"CASE WHEN a.c_{c} IS NOT DISTINCT FROM b.c_{c} THEN 0 WHEN a.c_{c} IS NULL OR b.c_{c} IS NULL THEN 1 ELSE 2 END * {KNN_UNIT * KNN_UNIT}" for c in KNN_CAT])
+    counts = ", ".join(f"CAST(count(*) FILTER (rank <= {k} AND label = 1) AS BIGINT) AS positive_{k}, CAST(max(d2) FILTER (rank <= {k}) AS BIGINT) AS farthest_{k}" for k in NEIGHBOURS)
+    return f"""SELECT q AS id, first(exit_status) AS exit_status, CAST(count(*) AS BIGINT) AS neighbours, CAST(max(near) FILTER (rank = 1) AS BIGINT) AS nearest_id, {counts} FROM (
+      SELECT a.id AS q, a.exit_status, b.id AS near, b.exit_status AS label, {d2} AS d2, row_number() OVER (PARTITION BY a.id ORDER BY {d2}, b.id) AS rank
+      FROM points a, points b WHERE a.held AND NOT b.held QUALIFY rank <= {max(NEIGHBOURS)}) GROUP BY q""", f"""split AS ({split}), scale AS (SELECT {scale} FROM split WHERE NOT held),
+    points AS (SELECT p.id, p.exit_status, p.held, {points}, {known} FROM split p, scale s)"""
+
+
+@register("h02_knn", _knn_sql()[0], ctes=_knn_sql()[1])
+def h02_knn(spark, sf_dir):
+    """The 15 nearest of the 80 % part for each held-out row: how many there are, the nearest, and for 5 and 15 neighbours
+    the votes for class 1 and the squared distance of the farthest."""
+    rows = materialised(E.stratified_holdout(_load(spark, sf_dir)[0], TARGET, 0.2))
+    fit_part, hold = rows.where("is_holdout = 0"), rows.where("is_holdout = 1")
+    near = N.nearest_neighbors(_knn_points(fit_part, fit_part), _knn_points(fit_part, hold), max(NEIGHBOURS), label=TARGET).rows
+    counts = [c for k in NEIGHBOURS for c in (
+        F.count_if((F.col("rank") <= k) & (F.col("label") == 1)).alias(f"positive_{k}"),
+        F.max(F.when(F.col("rank") <= k, F.col("d2"))).cast("long").alias(f"farthest_{k}"))]
+    found = near.groupBy("query_id").agg(F.count(F.lit(1)).alias("neighbours"), F.max(F.when(F.col("rank") == 1, F.col("neighbor_id"))).alias("nearest_id"), *counts)
+    return hold.select(*KEEP).join(found.withColumnRenamed("query_id", "id"), "id")
+
+
 @register("h07_adaboost", _HOLDOUT_SQL)
 def h07_adaboost(spark, sf_dir):
     m, fit_part, hold = _holdout(spark, sf_dir)

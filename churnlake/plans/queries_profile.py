@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from churnlake.operators import profile as P
 from churnlake.plans.catalog import register
+from churnlake.session import require_checkpoint_dir
 from churnlake.sources.accounts import accounts, train_table
+from churnlake.sources.io import csv_scan
 
 TARGET = "exit_status"
 NUMERICS = ["credit_score", "age", "tenure", "acc_balance", "prod_count", "has_card", "is_active", "estimated_salary"]
@@ -26,6 +30,14 @@ def a1_accounts_scan(spark, sf_dir):
     return accounts(spark, sf_dir)
 
 
+@register("a1_csv_scan", "SELECT * FROM train")
+def a1_csv_scan(spark, sf_dir):
+    """The training table written as CSV with a header and read by its explicit schema: nulls and doubles come back as they were."""
+    path = f"{require_checkpoint_dir(spark)}/csv-{uuid.uuid4().hex}"
+    train_table(spark, sf_dir).write.option("header", True).csv(path)
+    return csv_scan(spark, path)
+
+
 @register("b01_shape", f"SELECT count(*) AS n_rows, CAST({len(TRAIN_DTYPES)} AS BIGINT) AS n_cols FROM train")
 def b01_shape(spark, sf_dir):
     return P.shape(train_table(spark, sf_dir))

@@ -31,6 +31,24 @@ def test_versioned_sink_counts_up(spark):
     assert spark.read.option("header", True).csv(latest).count() == 5
 
 
+def test_writers_at_once_never_share_a_number(spark):
+    from concurrent.futures import ThreadPoolExecutor
+
+    folder = tempfile.mkdtemp(prefix="churnlake-sub-")
+    frames = [spark.range(3 + k).select(F.col("id"), F.lit(k).alias("exit_status")) for k in range(6)]
+    hidden = [f"{folder}/_writing-{k}" for k in range(6)]
+    for df, path in zip(frames, hidden):
+        A.write_submission(df, path)
+    with ThreadPoolExecutor(6) as pool:  # all of them want number 1
+        won = list(pool.map(lambda path: A.publish(spark, path, f"{folder}/submission1.csv"), hidden))
+    assert sum(won) == 1
+    first = spark.read.option("header", True).option("inferSchema", True).csv(f"{folder}/submission1.csv")
+    assert first.count() == 3 + won.index(True)
+    assert A.latest_submission(spark, folder).endswith("/submission1.csv")
+    numbered, _ = A.versioned_sink(spark, frames[0], folder)
+    assert numbered.endswith("/submission2.csv") and A.latest_submission(spark, folder) == numbered
+
+
 def test_resolve_id_column(spark):
     assert A.resolve_id_column(spark.range(1).withColumnRenamed("id", "record_id")) == "record_id"
     assert A.resolve_id_column(spark.range(1).withColumnRenamed("id", "x")) == "x"
