@@ -30,6 +30,8 @@ from churnlake.llm.common import batch, shared_folder, stage, text_batches
 
 HASHES = 3
 SLICE_BITS = 16  # counters per row of the merged filter: 2 ** SLICE_BITS
+HELD_WORDS = 1 << 20  # digest words a task counts at once
+COPIES = 1 << 16  # rows written out at once of those equal in id and text
 
 
 def digest(data: bytes) -> bytes:
@@ -52,21 +54,30 @@ def sha_of(text: pd.Series) -> pd.Series:
 
 
 def _count_hits(bits: int):
-    """Per task and slice: the offsets hit once and those hit more often, as packed 16-bit numbers."""
+    """Per slice and ``HELD_WORDS`` rows of a task: the offsets hit once and those hit more often, as packed 16-bit numbers."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("slice", pa.int32()), ("once", pa.binary()), ("more", pa.binary())])
-        held = [positions(b.column(0).to_numpy(zero_copy_only=False), bits).ravel() for b in batches]
-        if not held:
-            return
-        at, n = np.unique(np.concatenate(held), return_counts=True)
+    schema = pa.schema([("slice", pa.int32()), ("once", pa.binary()), ("more", pa.binary())])
+
+    def counted(words: list[np.ndarray]) -> pa.RecordBatch:
+        at, n = np.unique(np.concatenate([positions(w, bits).ravel() for w in words]), return_counts=True)
         slices = (at >> np.uint64(SLICE_BITS)).astype(np.int32)
         offsets = (at & np.uint64((1 << SLICE_BITS) - 1)).astype("<u2")
         ids, starts = np.unique(slices, return_index=True)
         ends = np.append(starts[1:], len(slices))
         once = [offsets[a:b][n[a:b] == 1].tobytes() for a, b in zip(starts, ends)]
         more = [offsets[a:b][n[a:b] > 1].tobytes() for a, b in zip(starts, ends)]
-        yield batch(schema, ids.tolist(), once, more)
+        return batch(schema, ids.tolist(), once, more)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for b in batches:
+            held.append(b.column(0).to_numpy(zero_copy_only=False))
+            size += b.num_rows
+            if size >= HELD_WORDS:
+                yield counted(held)
+                held, size = [], 0
+        if size:
+            yield counted(held)
 
     return run
 
@@ -75,7 +86,7 @@ def _merge_slice(key: tuple, rows: pa.Table) -> pa.Table:
     """One slice of the filter: the counters that all tasks together hit at least twice."""
     hits = np.zeros(1 << SLICE_BITS, dtype=np.uint8)
     for once, more in zip(rows["once"].to_pylist(), rows["more"].to_pylist()):
-        o = np.frombuffer(once, dtype="<u2")  # distinct within a task, so plain indexing adds each once
+        o = np.frombuffer(once, dtype="<u2")  # distinct within a row, so plain indexing adds each once
         hits[o] = np.minimum(hits[o] + 1, 2)
         hits[np.frombuffer(more, dtype="<u2")] = 2
     return pa.table({"slice": pa.array([key[0].as_py()], pa.int32()), "twice": pa.array([np.packbits(hits == 2, bitorder="little").tobytes()], pa.binary())})
@@ -128,14 +139,25 @@ def filter_shape(rows: int, bits_per_row: int, max_filter_bits: int) -> tuple[in
     return shards, 1 << max(SLICE_BITS, int(-(-rows // shards) * bits_per_row - 1).bit_length())
 
 
-def flagged(digested: DataFrame, shards: int, bits: int) -> DataFrame:
+def write_shards(digested: DataFrame, shards: int, folder: str, by_shard: bool) -> None:
+    """Write the rows by shard: the counters are picked by the low bits of the digest word, the shard by its high bits.
+
+    ``by_shard`` (for narrow tables with an ``id``) shuffles the rows into ranges of (shard, hash of the id): about twice as many files as
+    shards at most, and the shard of a very common text is split by its copies' ids. Otherwise rows stay in their tasks, and each task
+    writes a file a shard.
+    """
+    sharded = digested.withColumn("_xd_shard", F.pmod(F.shiftrightunsigned("_xd_h", 40), F.lit(shards)).cast("int"))
+    if by_shard:
+        sharded = sharded.repartitionByRange(shards, "_xd_shard", F.xxhash64("id"))
+    sharded.write.partitionBy("_xd_shard").parquet(folder)
+
+
+def flagged(digested: DataFrame, shards: int, bits: int, by_shard: bool = False) -> DataFrame:
     """``digested`` with ``_xd_maybe``: whether the Bloom counters allow a second copy of the row's text."""
     if shards == 1:
         return digested.withColumn("_xd_maybe", _test(bloom_filter(digested, bits))("_xd_h"))
-    # One write without a shuffle; each pass then reads its own shard only.
-    # The counters are picked by the low bits of the digest word, the shard by its high bits.
     spark, folder = digested.sparkSession, f"{shared_folder(digested.sparkSession)}/llm-shards-{uuid.uuid4().hex}"
-    digested.withColumn("_xd_shard", F.pmod(F.shiftrightunsigned("_xd_h", 40), F.lit(shards)).cast("int")).write.partitionBy("_xd_shard").parquet(f"{folder}/digests")
+    write_shards(digested, shards, f"{folder}/digests", by_shard)  # each pass then reads its own shard only
     whole = spark.read.parquet(f"{folder}/digests")
     marked = digested.withColumn("_xd_maybe", F.lit(True)).schema
     for k in range(shards):
@@ -155,12 +177,15 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     light = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     light = stage(with_digest(light).drop("text"), "digests")  # the texts are read once; later passes read 48 bytes a row
-    light = stage(flagged(light, *filter_shape(light.count(), bits_per_row, max_filter_bits)).select("id", F.col("_xd_sha").alias("sha"), "_xd_maybe"), "flags")
+    light = stage(flagged(light, *filter_shape(light.count(), bits_per_row, max_filter_bits), by_shard=True).select("id", F.col("_xd_sha").alias("sha"), "_xd_maybe"), "flags")
     sha = F.lower(F.hex("sha")).alias("text_sha256")
     alone = light.where(~F.col("_xd_maybe")).select(F.col("id").alias(id_col), F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), sha)
     rows = stage(light.where("_xd_maybe").groupBy("sha", "id").agg(F.count(F.lit(1)).alias("n")), "repeats")
     groups = stage(rows.groupBy("sha").agg(F.max("id").alias("keep_id"), F.sum("n").alias("group_size")), "groups")
-    joined = rows.join(groups, "sha").select("sha", "id", "keep_id", "group_size", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))).alias("copy"))
+    # Rows equal in id and text are written out in lots, never as one array.
+    joined = rows.join(groups, "sha").withColumn("lot", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / COPIES))))
+    copies = F.sequence(F.col("lot") * COPIES + 1, F.least(F.col("n"), (F.col("lot") + 1) * COPIES))
+    joined = joined.select("sha", "id", "keep_id", "group_size", F.explode(copies).alias("copy"))
     kept = F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("copy") == 1)
     return alone.unionAll(joined.select(F.col("id").alias(id_col), "keep_id", "group_size", kept.alias("kept"), sha))
 

@@ -214,3 +214,24 @@ def test_unseen_layouts_without_an_article(spark):
         total += 1
         hits += html_extract.extract_batch(model, [page])[0] == main
     assert hits >= 0.9 * total, (hits, total)
+
+
+def test_exact_dedup_writes_about_as_many_files_as_shards(spark, tmp_path):
+    rows = spark.range(20_000, numPartitions=16).select(F.col("id"), F.when(F.col("id") % 3 == 0, F.lit("same")).otherwise(F.col("id").cast("string")).alias("text"))
+    exact_dedup.write_shards(exact_dedup.with_digest(rows).drop("text"), 1000, str(tmp_path / "digests"), by_shard=True)
+    per_shard = [len(list(d.glob("*.parquet"))) for d in (tmp_path / "digests").glob("_xd_shard=*")]
+    assert sum(per_shard) <= 2000  # 16 tasks would write up to 16,000
+    assert max(per_shard) > 100  # the shard of the common text, a third of all rows, is many files
+    assert spark.read.parquet(str(tmp_path / "digests")).count() == 20_000
+
+
+def test_exact_dedup_counts_in_lots(spark, monkeypatch):
+    rows = [(i % 40, f"text {i % 25}") for i in range(600)] + [(7, "twin")] * 50
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    key = ["doc_id", "keep_id", "group_size", "kept", "text_sha256"]
+    want = sorted(tuple(r) for r in exact_dedup.exact_groups(docs).select(*key).collect())
+    monkeypatch.setattr(exact_dedup, "HELD_WORDS", 64)
+    monkeypatch.setattr(exact_dedup, "COPIES", 7)
+    assert sorted(tuple(r) for r in exact_dedup.exact_groups(docs).select(*key).collect()) == want
+    assert sorted(tuple(r) for r in exact_dedup.exact_groups(docs, max_filter_bits=1 << 12).select(*key).collect()) == want
+    assert sum(kept for _, _, _, kept, _ in want) == 26 and len(want) == 650
