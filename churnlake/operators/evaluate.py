@@ -214,7 +214,7 @@ def threshold_sweep_f1(df: DataFrame, label: str, score: str, grid: Sequence[flo
 
 def scores_at_ranks_desc(df: DataFrame, score: str, ranks: Sequence[int]) -> dict[int, float | None]:
     """Scores at 0-based positions of the descending order, all found in shared
-    histogram-narrowing passes (:func:`~churnlake.operators.stats.order_statistics`)."""
+    passes (:func:`~churnlake.operators.stats.order_statistics`)."""
     holder: dict[str, int] = {}
 
     def asc_ranks(n: int) -> set[int]:

@@ -75,3 +75,36 @@ def test_hot_and_null_keys_are_split(spark, skewed, hot):
     out.collect()
     assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
     assert audit.key_coverage(df, df, "k").first()["n_test"] == 200_000
+
+
+@pytest.mark.parametrize("by", [[], ["g"]])
+def test_order_statistics_with_heavy_values_and_sketches_that_miss(spark, monkeypatch, by):
+    n = 60_000
+    df = spark.range(0, n, 1, 4).select(
+        F.when(F.rand(1) < 0.4, 2.5).otherwise(F.rand(2) * F.exp(F.randn(3) * 9)).alias("x"), (F.col("id") % 3).cast("double").alias("t"),
+        F.when(F.col("id") % 4 > 0, F.col("id") % 4).alias("g"))
+    pdf, probs, missed, plain = df.toPandas(), [0.0, 0.001, 0.25, 0.5, 0.9999, 1.0], set(), stats._bracket
+
+    def misses_once(st, at, n, *rest):
+        if at in missed:
+            return plain(st, at, n, *rest)
+        missed.add(at)
+        return plain(st, (at + n // 2) % n, n, *rest)
+
+    monkeypatch.setattr(stats, "_bracket", misses_once)
+    got = stats.exact_quantiles(df, ["x", "t"], probs, by=by, max_collect=200)
+    parts = [((None if np.isnan(g) else int(g),), p) for g, p in pdf.groupby("g", dropna=False)] if by else [((), pdf)]
+    assert len(missed) > 3 and len(got) == 2 * len(parts)
+    for g, part in parts:
+        for c in ("x", "t"):
+            assert np.allclose(got[g, c], np.quantile(part[c], probs), rtol=1e-12, atol=0)
+
+
+def test_order_statistics_bound_their_groups_and_cache_nothing(spark):
+    df = spark.range(500).select((F.col("id") % 50).alias("g"), F.col("id").cast("double").alias("x"))
+    with pytest.raises(ValueError, match="groups"):
+        stats.order_statistics(df, ["x"], lambda n: {0}, by=["g"], max_groups=49)
+    values, counts = stats.order_statistics(df, ["x"], lambda n: {0, n - 1, n}, by=["g"], max_groups=50)
+    assert len(counts) == 50 and values[(7,), "x"] == {0: 7.0, 9: 457.0}
+    assert stats.order_statistics(df.where("x < 0"), ["x"], lambda n: {0}) == ({}, {})
+    assert not list(spark.sparkContext._jsc.getPersistentRDDs())
