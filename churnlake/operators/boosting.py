@@ -44,6 +44,7 @@ CUT_EVERY = 50  # rounds
 BLOCK_ROWS = 65_536
 NODES_AT_ONCE = 256  # whose gains are looked at together
 HELD_BYTES = 64 << 20  # of binned rows that one task may hold
+DRIVER_BYTES = 1 << 30  # of sums that the driver may hold for members grown together
 
 
 @dataclass(frozen=True)
@@ -60,6 +61,7 @@ class Setting:
     rows: float = 1.0  # share of the rows that a round learns from
     seed: int = 42
     patience: int | None = None  # rounds without a lower loss on the held-out fold that end the fit
+    random_cuts: bool = False  # by depth alone: a node looks at sqrt(features) features, and at one drawn cut of each
 
 
 @dataclass(frozen=True)
@@ -383,6 +385,7 @@ class _Grower:
         self.total: list[np.ndarray | None] = [None]
         self.hist: list[np.ndarray | None] = [None]
         self.best: list[tuple | None] = [None]  # gain, feature, cut id, left sums
+        self.path = [1]  # 1 for the root, then 2 p and 2 p + 1: a node's draws depend on its place alone
         self.asked = [0]  # nodes summed in this wave, by slot
         self.siblings: list[tuple[int, int, int]] = []  # summed child, the other, parent
         self.done = False
@@ -421,6 +424,7 @@ class _Grower:
         self.left[node], self.right[node] = len(self.feature), len(self.feature) + 1
         for side in (left, self.total[node] - left):
             self.feature.append(-1), self.cut.append(0), self.left.append(-1), self.right.append(-1)
+            self.path.append(2 * self.path[node] + (len(self.feature) - 1 == self.right[node]))
             self.depth.append(self.depth[node] + 1), self.total.append(side), self.hist.append(None), self.best.append(None)
 
     def _ask(self, node: int) -> None:
@@ -431,6 +435,21 @@ class _Grower:
         self.asked.append(a)
         self.siblings.append((a, b, node))
 
+    def _drawn(self, node: int) -> np.ndarray:
+        """Of sqrt(features) features drawn among those that vary in the node, one cut each, drawn between its smallest and largest value there."""
+        draw, held, starts = np.random.default_rng([self.salt, self.path[node]]), self.hist[node][2] > 0, self.bins.starts
+        order, place = draw.random(len(self.bins.cuts)), draw.random(len(self.bins.cuts))
+        varies = np.add.reduceat(held, starts[:-1], dtype=np.int64) > 1
+        if self.allowed is not None:
+            varies &= self.allowed[starts[:-1]]
+        chosen = np.argsort(np.where(varies, order, 2.0))[: min(int(varies.sum()), max(1, math.isqrt(len(varies))))]
+        out = []
+        for f in chosen.tolist():
+            bins = np.flatnonzero(held[starts[f] : starts[f + 1]])
+            edges = self.bins.cuts[f][bins[0] : bins[-1]]
+            out.append(int(starts[f] + bins[0] + np.abs(edges - (edges[0] + place[f] * (edges[-1] - edges[0]))).argmin()))
+        return np.array(out, int)
+
     def _best_cuts(self, fresh: list[int], gains) -> None:
         s = self.member.setting
         fresh = [k for k in fresh if self.depth[k] < s.max_depth and self.total[k][2] >= s.min_split]
@@ -439,6 +458,12 @@ class _Grower:
             gain, left = gains(np.stack([self.hist[k] for k in part]), self.bins, s.l2, s.min_leaf, s.min_hessian)
             if self.allowed is not None:
                 gain[:, ~self.allowed] = -np.inf
+            if s.random_cuts:
+                for j, k in enumerate(part):
+                    drawn = self._drawn(k)
+                    kept = gain[j, drawn]
+                    gain[j] = -np.inf
+                    gain[j, drawn] = kept
             best = gain.argmax(axis=1)
             for j, (k, b) in enumerate(zip(part, best.tolist())):
                 if gain[j, b] > 1e-12:
@@ -618,19 +643,39 @@ def fit(data: Binned, members: Sequence[Member], resume: Sequence[Ensemble] | No
         source = data.blocks.rdd
         source = source.coalesce(parts) if parts < source.getNumPartitions() else source
         rows = source.map(lambda r: _block(r, kind, n_features, n_folds)).mapPartitions(_joined)
-        if not resume:
-            counts = dict(_reduced(rows.map(_with_margins(np.zeros(len(found)), {})).mapPartitions(_spread_measures({m: e.member for m, e in found.items()}))))
-            for m, e in found.items():
-                e.base = _base(counts[m, -1])
-        spread = _SpreadRows(rows, data.bins.starts, np.array([e.base for e in found.values()]), {m: e.trees for m, e in found.items()}, require_checkpoint_dir(spark))
-        _boost(found, data.bins, spread)
-        spread.close()
+        for lot in _lots(found, data.bins.count):
+            if not resume:
+                counts = dict(_reduced(rows.map(_with_margins(np.zeros(len(lot)), {})).mapPartitions(_spread_measures({m: e.member for m, e in lot.items()}))))
+                for m, e in lot.items():
+                    e.base = _base(counts[m, -1])
+            spread = _SpreadRows(rows, data.bins.starts, np.array([e.base for e in lot.values()]), {m: e.trees for m, e in lot.items()}, require_checkpoint_dir(spark))
+            _boost(lot, data.bins, spread)
+            spread.close()
     for e in found.values():
         patience, held = e.member.setting.patience, [p["held_loss"] for p in e.curve]
         e.best = best_round(held, patience)[0] + 1 if patience and held and not math.isnan(held[0]) else len(e.trees)
     return [found[m] for m in range(len(members))]
 
 
+def _widest(setting: Setting) -> int:
+    """The most nodes that have sums at a time."""
+    return 2 * setting.max_leaves if setting.growth == "leaf" else 1 << min(setting.max_depth, 14)
+
+
+def _lots(found: dict[int, Ensemble], n_bins: int) -> Iterator[dict[int, Ensemble]]:
+    """Members in lots whose sums the driver may hold, numbered from 0 in each lot."""
+    lot, held = {}, 0
+    for e in found.values():
+        size = _widest(e.member.setting) * 3 * 8 * n_bins
+        if lot and held + size > DRIVER_BYTES:
+            yield lot
+            lot, held = {}, 0
+        lot[len(lot)] = e
+        held += size
+    if lot:
+        yield lot
+
+
 def _resumed(e: Ensemble, member: Member) -> Ensemble:
     """An ensemble of the same model that may grow on."""
     if replace(e.member.setting, rounds=0, patience=None) != replace(member.setting, rounds=0, patience=None):
@@ -696,6 +741,21 @@ def gradient_boosting(rounds: int = 100, step: float = 0.1, max_depth: int = 3,
     return Setting(rounds, step, "depth", max_depth=max_depth, min_leaf=1, min_split=min_split, seed=seed)
 
 
+def random_cut_forest(trees: int = 200, max_depth: int = 10, min_leaf: int = 1, seed: int = 42) -> list[Member]:
+    """H5: extremely randomised trees over all rows; cuts are drawn, not searched. One round from the base margin has constant
+    hessians, so its gain is the Gini decrease but for a factor, and its leaf values say the leaf's share of class 1."""
+    return [Member(Setting(1, 1.0, "depth", max_depth=max_depth, min_leaf=min_leaf, min_hessian=0.0, seed=seed + t, random_cuts=True)) for t in range(trees)]
+
+
+def forest_scored(df: DataFrame, bins: Bins, trees: Sequence[Ensemble], keep: Sequence[str], out: str = "p") -> DataFrame:
+    """The mean over the trees of the share of class 1 in a row's leaf, beside the kept columns."""
+    base, n = trees[0].base, len(trees)
+    share = 1 / (1 + math.exp(-base))
+    mean = F.aggregate("_margins", F.lit(0.0), lambda a, z: a + z) / n
+    p = F.lit(share) + (mean - F.lit(base)) * F.lit(share * (1 - share))
+    return with_margins(df, bins, trees, "_margins").select(*keep, F.least(F.greatest(p, F.lit(0.0)), F.lit(1.0)).alias(out))
+
+
 def boosted_profile(profile: str, rounds: int = 1500, step: float = 0.03, patience: int | None = 50, seed: int = 42) -> Setting:
     """A grows leaf by leaf, b by depth with an l2 term, c symmetric trees."""
     made = {

@@ -13,6 +13,7 @@ written as Parquet in the session's shared checkpoint folder.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -45,9 +46,16 @@ class Matrix:
     prior: float
 
 
+def swept_names(sweep: Sequence[float]) -> list[str]:
+    return [f"customer_id_te_{j}" for j in range(len(sweep))]
+
+
 def model_frame(train: DataFrame, test: DataFrame, k: int = 30, ln_m: float = 20.0, cid_m: float = 5.0,
-                engineered: bool = True):
-    """Wide train/test frames of the final model: (train with fold, test, feature names, prior)."""
+                engineered: bool = True, sweep: Sequence[float] = ()):
+    """Wide train/test frames of the final model: (train with fold, test, feature names, prior).
+
+    ``sweep``: more smoothings of the identity key, each a train column ``customer_id_te_<j>`` from the same aggregate.
+    """
     train, test = C.impute_median_fit_train(train, test, IMPUTE_NUM)
     train, test = C.impute_mode_fit_train(train, test, ["country"])
     if engineered:
@@ -58,7 +66,7 @@ def model_frame(train: DataFrame, test: DataFrame, k: int = 30, ln_m: float = 20
     prior = TE.global_prior(folded, TARGET)
     # The first encoding is written too: the second reads its input three times (fold totals, key sums, rows).
     enc = written(TE.oof_target_encode(folded, "last_name", TARGET, "fold", ln_m, "last_name_te"), "encoded")
-    enc = TE.oof_target_encode(enc, COMPOSITE, TARGET, "fold", cid_m, "customer_id_te")
+    enc = TE.oof_target_encode(enc, COMPOSITE, TARGET, "fold", [cid_m, *sweep], ["customer_id_te", *swept_names(sweep)])
     test_enc = TE.te_apply(train, test, "last_name", TARGET, ln_m, "last_name_te", prior)
     test_enc = TE.te_apply(train, test_enc, COMPOSITE, TARGET, cid_m, "customer_id_te", prior)
     levels = D.fit_one_hot(train, ["country", "gender"], drop_first=True)
@@ -90,10 +98,23 @@ def load(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 BLEND = {"a": 0.4, "b": 0.2, "c": 0.4}  # fixed value: the members' weights
 
 
-def oof_models(m: Matrix, k: int, settings: list[list[B.Setting]]):
-    """(bins, ensembles): for each list of k settings the k fold models, all grown together."""
+def oof_models(m: Matrix, k: int, settings: list[list[B.Setting]], features: list[tuple[int, ...] | None] | None = None):
+    """(bins, ensembles): for each list of k settings the k fold models, all grown together (H16). ``features`` names for each
+    list the places of the features that its models may use."""
     data = B.bin_rows(m.train, "label")
-    return data.bins, B.fit(data, [B.Member(s, f) for per_fold in settings for f, s in enumerate(per_fold)])
+    return data.bins, B.fit(data, [B.Member(s, f, features=features[j] if features else None) for j, per_fold in enumerate(settings) for f, s in enumerate(per_fold)])
+
+
+def smoothing_matrix(train: DataFrame, test: DataFrame, k: int, smoothings: Sequence[float]) -> tuple[Matrix, list[tuple[int, ...]]]:
+    """One training matrix with an identity-key encoding for every smoothing value, and for each value the places of its
+    features: all of the plain matrix, with its own encoding. The encodings share one aggregate (I9)."""
+    first, *others = smoothings
+    enc, test_wide, names, prior = model_frame(train, test, k, cid_m=first, sweep=others)
+    extra = swept_names(others)
+    tr = D.assemble_features(enc.withColumn("label", F.col(TARGET).cast("double")), names + extra).select("id", TARGET, "label", "fold", "features")
+    at, shared = names.index("customer_id_te"), [j for j, c in enumerate(names) if c != "customer_id_te"]
+    own = [at, *range(len(names), len(names) + len(extra))]
+    return Matrix(materialised(tr), test_wide, names + extra, prior), [tuple(sorted([*shared, j])) for j in own]
 
 
 def final_blend(m: Matrix, k: int, max_iter: int = 1500, patience: int | None = 50, step: float = 0.03):

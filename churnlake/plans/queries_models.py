@@ -109,7 +109,6 @@ def _boosted_query(setting):
 register("h01_logistic_regression", _HOLDOUT_SQL)(_fit_score(lambda n: H.logistic_regression(n, max_iter=1000)))
 register("h03_decision_tree", _HOLDOUT_SQL)(_fit_score(lambda n: H.decision_tree(8)))
 register("h04_random_forest", _HOLDOUT_SQL)(_fit_score(lambda n: H.random_forest(100, 10)))
-register("h05_forest_no_bootstrap", _HOLDOUT_SQL)(_fit_score(lambda n: H.forest_no_bootstrap(200, 10)))
 register("h06_gradient_boosting", _HOLDOUT_SQL)(_fit_score(lambda n: H.gradient_boosting(100, 0.1, 3)))
 register("h08_boosted_hist", _HOLDOUT_SQL)(_boosted_query(B.boosted_hist(300, 0.03, 31, 20, 0.5)))
 register("h09_boosted_profile_a", _HOLDOUT_SQL)(_boosted_query(B.boosted_profile("a")))
@@ -117,6 +116,14 @@ register("h10_boosted_profile_b", _HOLDOUT_SQL)(_boosted_query(B.boosted_profile
 register("h11_boosted_profile_c", _HOLDOUT_SQL)(_boosted_query(B.boosted_profile("c")))
 
 
+@register("h05_forest_no_bootstrap", _HOLDOUT_SQL)
+def h05_forest_no_bootstrap(spark, sf_dir):
+    """200 trees with drawn cuts over all learnt rows, grown together."""
+    _, fit_part, hold = _holdout(spark, sf_dir)
+    data = B.bin_rows(fit_part, "label", ("is_holdout",))
+    return _judged(B.forest_scored(hold, data.bins, B.fit(data, B.random_cut_forest(200, 10)), KEEP))
+
+
 NEIGHBOURS = (5, 15)  # fixed values: the neighbour counts voted with
 KNN_NUM, KNN_CAT, KNN_UNIT = churn.BASE_NUM, ["country", "gender"], 1024
 
@@ -332,13 +339,19 @@ SMOOTHINGS, SWEEP_FOLDS = (0.001, 1.0, 2.0, 5.0, 10.0, 20.0), 10  # fixed values
     + f") AS c(label, cid_m, folds), (SELECT count(*) AS n_scored FROM {_TRAIN}) n",
 )
 def i09_experiment_sweep(spark, sf_dir):
-    """Per smoothing value of the identity-key encoding: 10-fold scores of 300 rounds, best F1 and threshold."""
-    train, test = _load(spark, sf_dir)
+    """Per smoothing value of the identity-key encoding: 10-fold scores of 300 rounds, best F1 and threshold.
+
+    One matrix holds all encodings; the 60 models are grown together, each with the features of its smoothing, and all
+    rows are scored in one pass.
+    """
+    m, features = churn.smoothing_matrix(*_load(spark, sf_dir), SWEEP_FOLDS, SMOOTHINGS)
+    settings = [B.boosted_hist(300, 0.03, 31, 20, 0.5, 42 + f) for f in range(SWEEP_FOLDS)]
+    bins, models = churn.oof_models(m, SWEEP_FOLDS, [settings] * len(SMOOTHINGS), features)
+    scores = [B.own_fold("margins", "fold", j * SWEEP_FOLDS).alias(f"p_{j}") for j in range(len(SMOOTHINGS))]
+    scored = materialised(B.with_margins(m.train, bins, models).select(*KEEP, *scores))
     rows = []
-    for cid_m in SMOOTHINGS:
-        m = churn.model_matrix(train, test, k=SWEEP_FOLDS, cid_m=cid_m)
-        bins, models = churn.oof_models(m, SWEEP_FOLDS, [[B.boosted_hist(300, 0.03, 31, 20, 0.5, 42 + f) for f in range(SWEEP_FOLDS)]])
-        oof = materialised(B.with_margins(m.train, bins, models).select(*KEEP, B.own_fold("margins", "fold").alias("p")))
+    for j, cid_m in enumerate(SMOOTHINGS):
+        oof = scored.select(*KEEP, F.col(f"p_{j}").alias("p"))
         best = I.choose_threshold(oof, TARGET, "p", GRID_161, (0.20, 0.21, 0.22, 0.23, 0.24)).first()
         ok = 0.6 < best["best_f1"] <= 1.0 and all(0.0 < best[c] < 1.0 for c in ("best_thresh", "pos_rate")) and all(_quality(oof).values())
         rows.append((f"cid_m={cid_m}", cid_m, SWEEP_FOLDS, oof.where("p is not null").count(), ok))
@@ -363,8 +376,9 @@ def i08_fitted_leaderboard(spark, sf_dir):
     tuned = B.fit(binned, [B.Member(GRID_BOOSTED[f1.index(max(f1))][2])])[0]
     scores = {"boosted_hist": found[-2], "gradient_boosting": found[-1], "boosted_hist_tuned": tuned}
     scores = {name: B.scored(hold, binned.bins, e, KEEP) for name, e in scores.items()}
-    for name, est in (("logistic_regression", H.logistic_regression(n)), ("random_forest", H.random_forest(100, 10)), ("extra_trees", H.forest_no_bootstrap(100, 10))):
+    for name, est in (("logistic_regression", H.logistic_regression(n)), ("random_forest", H.random_forest(100, 10))):
         scores[name] = H.score(H.fit_sized(est, fit_part, n), hold, KEEP)
+    scores["extra_trees"] = B.forest_scored(hold, binned.bins, B.fit(binned, B.random_cut_forest(100, 10)), KEEP)
     scores["ada_boost"] = H.adaboost(fit_part, "label", rounds=50).transform_scores(hold, KEEP)
     every = None
     for name in BASELINES:

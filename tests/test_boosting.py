@@ -144,3 +144,42 @@ def test_one_class_and_no_rows(spark, frame):
     assert B.scored(frame, one.bins, e, ["id"]).agg(F.max("p")).first()[0] < 0.01
     with pytest.raises(ValueError):
         B.bin_rows(frame.limit(0), "label")
+
+
+def test_random_cuts_are_drawn_by_place_and_leaves_hold_shares(data, rows, frame, monkeypatch):
+    x, y, _ = rows
+    members = B.random_cut_forest(12, 6, min_leaf=3)
+    held = B.fit(data, members)
+    same(held, B.fit(data, members))
+    monkeypatch.setattr(B, "DRIVER_BYTES", 5 * 64 * 24 * data.bins.count)  # five trees a lot
+    same(held, B.fit(data, members, held_bytes=0))
+    ids = data.bins.ids(x).T
+    cuts = {(int(e.trees[0].feature[0]), int(e.trees[0].cut[0])) for e in held}
+    assert len(cuts) > 6 and all(f != 4 for f, _ in cuts)  # drawn apart, and never on the constant feature
+    shares = []
+    for e in held:
+        leaf, base = B.walk(e.trees[0], ids), 1 / (1 + np.exp(-e.base))
+        mean = pd.Series(y).groupby(leaf).transform("mean").to_numpy()
+        assert pd.Series(y).groupby(leaf).size().min() >= 3
+        assert np.allclose(base + e.trees[0].value[leaf] * base * (1 - base), mean, atol=1e-9)
+        shares.append(mean)
+    got = B.forest_scored(frame, data.bins, held, ["id"]).toPandas().set_index("id").p.sort_index().to_numpy()
+    assert np.allclose(got, np.mean(shares, axis=0), atol=1e-9)
+    order = np.argsort(got)
+    rank = np.empty(len(y))
+    rank[order] = np.arange(1, len(y) + 1)
+    assert (rank[y == 1].sum() - y.sum() * (y.sum() + 1) / 2) / (y.sum() * (len(y) - y.sum())) > 0.75
+
+
+def test_smoothings_share_one_matrix(spark):
+    from churnlake.plans import churn
+
+    train, test = churn.load(spark, "/root/testdata/sf0.001")
+    both, places = churn.smoothing_matrix(train, test, 3, [1.0, 20.0])
+    wide = {r.id: r.features.toArray() for r in both.train.collect()}
+    for at, m in zip(places, (1.0, 20.0)):
+        plain = churn.model_matrix(train, test, k=3, cid_m=m)
+        names = [both.feature_names[j] for j in at]
+        order = [names.index(c) if c in names else names.index("customer_id_te_0") for c in plain.feature_names]
+        for r in plain.train.collect():
+            assert np.allclose(wide[r.id][list(at)][order], r.features.toArray(), rtol=1e-12)
