@@ -2,18 +2,20 @@
 
 All operators read a score table ``(label, score[, group])`` and return small
 DataFrames. Nothing row-level is collected; only bounded tables (a threshold
-grid, bin edges, a bin's distinct scores up to a cap) reach the driver.
+grid, a bracket's distinct scores up to a cap) reach the driver.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnlake.operators.stats import order_statistics
+from churnlake.session import written
 
 EPS = 1e-15
 
@@ -70,82 +72,41 @@ def log_loss(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> D
 # ----------------------------------------------------------------------------- ROC-AUC
 
 
-def _auc_one(df: DataFrame, label: str, score: str, rows_per_bin: int) -> DataFrame:
-    """Exact AUC (ties count half) for one score table.
+def running_sums(df: DataFrame, order: str, sums: Sequence[str], by: Sequence[str] = (), ranges: int | None = None) -> DataFrame:
+    """``df`` with ``<c>_before`` for each column of ``sums``: its sum over the rows of the same group (``by``) with a smaller ``order``.
 
-    1. Collapse ties: (score -> pos, neg) with a partial aggregate.
-    2. Equi-depth value bins (edges from ``percentile_approx`` over the
-       scores, about ``rows_per_bin`` rows per bin, so at most that many
-       distinct scores; the edge list is bounded by the bin count).
-    3. Negatives below a score = negatives of earlier bins (a per-bin table,
-       one row per bin) + a running sum inside the bin (window partitioned by
-       bin, so windows run in parallel and none holds more than one bin).
+    Two phases, so that no window holds a whole group. Rows are cut into ``ranges`` (default: the session's shuffle
+    partitions) by (group, order) and written with the number of their range. Totals of the ranges, at most one row a range and group,
+    give the offsets; sums run inside each range. ``order`` must differ between the rows of a group; a null group is one of its own.
     """
-    y = F.col(label).cast("int")
-    ties = df.where(F.col(score).isNotNull()).groupBy(F.col(score).cast("double").alias("v")).agg(
+    n = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cut = written(df.repartitionByRange(n, *by, order).withColumn("__range", F.spark_partition_id()), "ranges")
+    names = {c: f"__key_{j}" for j, c in enumerate([*by, "__range"])}
+    totals = cut.groupBy(*[F.col(c).alias(k) for c, k in names.items()]).agg(*[F.sum(c).alias(f"__t_{c}") for c in sums])
+    earlier = Window.partitionBy(*[names[c] for c in by]).orderBy(names["__range"]).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*names.values(), *[F.coalesce(F.sum(f"__t_{c}").over(earlier), F.lit(0)).alias(f"__o_{c}") for c in sums])
+    inside = Window.partitionBy(*names).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    within = cut.select("*", *[F.coalesce(F.sum(c).over(inside), F.lit(0)).alias(f"__w_{c}") for c in sums])
+    same = [F.col(c).eqNullSafe(F.col(k)) for c, k in names.items()]
+    joined = within.join(offsets, reduce(lambda x, y: x & y, same))
+    return joined.select(*df.columns, *[(F.col(f"__w_{c}") + F.col(f"__o_{c}")).alias(f"{c}_before") for c in sums])
+
+
+def roc_auc(df: DataFrame, label: str, score: str, by: str | None = None, ranges: int | None = None) -> DataFrame:
+    """Exact ROC-AUC (ties count half); per group of ``by``, any number of them, when given.
+
+    Ties collapse in a partial aggregate (score -> positives, negatives). A positive beats the negatives with a smaller score,
+    which :func:`running_sums` counts. The scores are read once.
+    """
+    keys, y = [by] if by else [], F.col(label).cast("int")
+    ties = df.where(F.col(score).isNotNull()).groupBy(*keys, F.col(score).cast("double").alias("v")).agg(
         F.sum(F.when(y == 1, 1).otherwise(0)).cast("double").alias("pos"),
         F.sum(F.when(y == 1, 0).otherwise(1)).cast("double").alias("neg"),
     )
-    n_rows = df.where(F.col(score).isNotNull()).count()
-    n_bins = int(min(100_000, max(1, n_rows // max(1, rows_per_bin))))
-    if n_bins > 1:
-        # Row-balanced edges: a bin never holds more distinct scores than rows.
-        probs = [i / n_bins for i in range(1, n_bins)]
-        edges = df.agg(F.percentile_approx(F.col(score).cast("double"), probs, 10 * n_bins).alias("e")).first()["e"]
-        splits = sorted(set(float(e) for e in edges))
-        binned = Bucketizer(splits=[-float("inf"), *splits, float("inf")], inputCol="v", outputCol="bin").transform(ties)
-    else:
-        binned = ties.withColumn("bin", F.lit(0.0))
-    per_bin = binned.groupBy("bin").agg(F.sum("neg").alias("bneg"))
-    # One row per bin (bounded by n_bins): offsets by a window over the bin table.
-    off = per_bin.select(
-        "bin", F.coalesce(F.sum("bneg").over(Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)).alias("off")
-    )
-    inside = Window.partitionBy("bin").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
-    contrib = binned.join(F.broadcast(off), "bin").select(
-        "pos", "neg",
-        (F.col("pos") * (F.col("off") + F.coalesce(F.sum("neg").over(inside), F.lit(0.0)) + F.lit(0.5) * F.col("neg"))).alias("c"),
-    )
-    out = contrib.agg(
-        F.try_divide(F.sum("c"), F.sum("pos") * F.sum("neg")).alias("roc_auc"),
-    )
-    return out
-
-
-def roc_auc(df: DataFrame, label: str, score: str, by: str | None = None, rows_per_bin: int = 1_000_000) -> DataFrame:
-    """Exact ROC-AUC; per group of ``by`` (a handful of models) when given.
-
-    Groups with at most ``rows_per_bin`` scores each are done together in one
-    pass (a window per group, each bounded by ``rows_per_bin`` rows); larger
-    groups go through the binned path one group at a time.
-    """
-    if by is None:
-        return _auc_one(df, label, score, rows_per_bin)
-    sizes = (
-        df.where(F.col(score).isNotNull()).groupBy(by).agg(F.count(F.lit(1)).alias("n")).orderBy(by).limit(1001).collect()
+    beaten = F.col("pos") * (F.col("neg_before") + F.lit(0.5) * F.col("neg"))
+    return running_sums(ties, "v", ["neg"], keys, ranges).groupBy(*keys).agg(
+        F.try_divide(F.sum(beaten), F.sum("pos") * F.sum("neg")).alias("roc_auc")
     )
-    if len(sizes) > 1000:
-        raise ValueError("roc_auc(by=...) is meant for a bounded number of models")
-    if all(r["n"] <= rows_per_bin for r in sizes):
-        y = F.col(label).cast("int")
-        ties = df.where(F.col(score).isNotNull()).groupBy(by, F.col(score).cast("double").alias("v")).agg(
-            F.sum(F.when(y == 1, 1).otherwise(0)).cast("double").alias("pos"),
-            F.sum(F.when(y == 1, 0).otherwise(1)).cast("double").alias("neg"),
-        )
-        below = Window.partitionBy(by).orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
-        c = ties.select(
-            by, "pos", "neg",
-            (F.col("pos") * (F.coalesce(F.sum("neg").over(below), F.lit(0.0)) + F.lit(0.5) * F.col("neg"))).alias("c"),
-        )
-        return c.groupBy(by).agg(F.try_divide(F.sum("c"), F.sum("pos") * F.sum("neg")).alias("roc_auc"))
-    parts = [
-        _auc_one(df.where(F.col(by) == r[by]), label, score, rows_per_bin).select(F.lit(r[by]).alias(by), "roc_auc")
-        for r in sizes
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
 
 
 # ----------------------------------------------------------------------------- threshold search

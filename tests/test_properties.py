@@ -120,8 +120,8 @@ def test_auc_equals_pairwise(spark):
     pos, neg = p[y == 1], p[y == 0]
     want = ((pos[:, None] > neg[None, :]).sum() + 0.5 * (pos[:, None] == neg[None, :]).sum()) / (len(pos) * len(neg))
     sdf = spark.createDataFrame(pd.DataFrame({"y": y, "p": p}))
-    for rows_per_bin in (10_000, 50):
-        got = I.roc_auc(sdf, "y", "p", rows_per_bin=rows_per_bin).first().roc_auc
+    for ranges in (1, 7, 1000):
+        got = I.roc_auc(sdf, "y", "p", ranges=ranges).first().roc_auc
         assert got == pytest.approx(want, abs=1e-12)
 
 
@@ -153,10 +153,28 @@ def test_grouped_auc_paths_agree(spark):
     n = 900
     pdf = pd.DataFrame({"m": rng.choice(["a", "b", "c"], n), "y": rng.integers(0, 2, n), "p": np.round(rng.random(n), 2)})
     sdf = spark.createDataFrame(pdf)
-    one_pass = {r.m: r.roc_auc for r in I.roc_auc(sdf, "y", "p", by="m").collect()}
-    binned = {r.m: r.roc_auc for r in I.roc_auc(sdf, "y", "p", by="m", rows_per_bin=40).collect()}
-    for m, g in pdf.groupby("m"):
+    pdf.loc[pdf.m == "c", "m"] = None  # a null model is one of its own
+    sdf = spark.createDataFrame(pdf)
+    one_pass = {r.m: r.roc_auc for r in I.roc_auc(sdf, "y", "p", by="m", ranges=1).collect()}
+    binned = {r.m: r.roc_auc for r in I.roc_auc(sdf, "y", "p", by="m", ranges=40).collect()}
+    assert len(one_pass) == len(binned) == 3
+    for m, g in pdf.assign(m=pdf.m.where(pdf.m.notna(), None).astype(object)).groupby("m", dropna=False):
+        m = m if isinstance(m, str) else None
         pos, neg = g.p[g.y == 1].to_numpy(), g.p[g.y == 0].to_numpy()
         want = ((pos[:, None] > neg[None, :]).sum() + 0.5 * (pos[:, None] == neg[None, :]).sum()) / (len(pos) * len(neg))
         assert one_pass[m] == pytest.approx(want, abs=1e-12)
         assert binned[m] == pytest.approx(want, abs=1e-12)
+
+
+def test_running_sums_equal_a_plain_window(spark):
+    df = spark.range(3000).select(
+        F.when(F.col("id") % 7 > 0, F.col("id") % 3).alias("g"), (F.col("id") * 7919 % 3001).cast("double").alias("v"), (F.col("id") % 11).alias("a"), (F.col("id") % 5).alias("b"))
+    plain = Window.partitionBy("g").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
+    want = df.select("*", *[F.coalesce(F.sum(c).over(plain), F.lit(0)).alias(f"{c}_before") for c in "ab"])
+    for ranges in (1, 9, 300):
+        got = I.running_sums(df, "v", ["a", "b"], ["g"], ranges)
+        assert got.columns == want.columns and got.count() == 3000 and got.exceptAll(want).isEmpty()
+    whole = Window.orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
+    assert I.running_sums(df, "v", ["a"], ranges=9).exceptAll(df.select("*", F.coalesce(F.sum("a").over(whole), F.lit(0)).alias("a_before"))).isEmpty()
+    assert I.running_sums(df.where("v < 0"), "v", ["a"]).isEmpty()
+    assert I.roc_auc(df.where("v < 0").withColumn("y", F.lit(1)), "y", "v").first().roc_auc is None
