@@ -227,15 +227,17 @@ def boxplot_stats(df: DataFrame, col: str, by: str | None = None, method: str |
     )
 
 
-def grouped_density(df: DataFrame, col: str, by: str, gridsize: int = 200, cut: float = 3.0) -> DataFrame:
+def grouped_density(df: DataFrame, col: str, by: str, gridsize: int = 200, cut: float = 3.0, cells: int | None = None) -> DataFrame:
     """Gaussian KDE per class, each class normalised on its own.
 
     Bandwidth by Scott's rule (sample std * n^(-1/5)); each class gets its own
     grid of ``gridsize`` points over [min - cut*bw, max + cut*bw].
-    Equal values are pre-aggregated first (weight = multiplicity); each
-    distinct value then contributes to the fixed ``gridsize`` grid points
-    (a generated sequence, not data), and the kernel sums are a partial
-    aggregate per (class, grid point), so the shuffle is classes x gridsize rows per task.
+    Equal values are pre-aggregated (weight = multiplicity). One aggregate then holds a kernel sum for each grid point, so a value stays one row and
+    a task hands on classes x gridsize numbers.
+
+    ``cells``: instead of by value, weights are gathered by linear binning on a grid of ``cells`` cells a bandwidth, which bounds the
+    rows by the range and not by the distinct values. The kernel is interpolated between cell ends: a density is off by at
+    most 1 / (8 * cells^2) of the kernel's peak, 1.2e-7 for 1024 cells. None is exact.
     """
     x = F.col(col).cast("double")
     src = df.where(x.isNotNull() & F.col(by).isNotNull())
@@ -250,18 +252,27 @@ def grouped_density(df: DataFrame, col: str, by: str, gridsize: int = 200, cut:
     # lookups: no join on the class key, so a dominant class cannot skew a shuffle.
     consts = {r[by]: r for r in stats.collect() if r["bw"] is not None and r["bw"] > 0}
     key = F.col(by)
-    cols = {name: lookup({k: float(v[name]) for k, v in consts.items()}, key) for name in ("n", "bw", "g0", "gstep")}
-    distinct_x = src.where(key.isin(list(consts))).groupBy(by, x.alias("x")).agg(F.count(F.lit(1)).cast("double").alias("w"))
-    joined = distinct_x.select(
-        by, "x", "w", *[c.alias(name) for name, c in cols.items()],
-        F.explode(F.sequence(F.lit(0), F.lit(gridsize - 1))).alias("grid_i"),
-    )
-    g = F.col("g0") + F.col("grid_i").cast("double") * F.col("gstep")
-    z = (g - F.col("x")) / F.col("bw")
-    kernel = joined.select(by, "grid_i", g.alias("grid_x"), "n", "bw", (F.col("w") * F.exp(F.lit(-0.5) * z * z)).alias("kv"))
-    sums = kernel.groupBy(by, "grid_i", "grid_x", "n", "bw").agg(F.sum("kv").alias("s"))
+    bw, g0, gstep, n, xmin = (lookup({k: float(v[name]) for k, v in consts.items()}, key) for name in ("bw", "g0", "gstep", "n", "xmin"))
+    points = src.where(key.isin(list(consts))).select(by, x.alias("x"))
+    if cells is None:
+        points = points.groupBy(by, "x").agg(F.count(F.lit(1)).cast("double").alias("w"))
+    else:
+        place = (F.col("x") - xmin) / bw * F.lit(float(cells))
+        upper = place - F.floor(place)
+        points = points.groupBy(by, F.floor(place).alias("cell")).agg(F.sum(1 - upper).alias("w"), F.sum(upper).alias("w_next"))
+        points = points.select(by, "w", "w_next", (xmin + F.col("cell") * bw / F.lit(float(cells))).alias("x"))
+    points = points.select("*", bw.alias("bw"), g0.alias("g0"), gstep.alias("gstep"))
+
+    # Written as SQL text: hundreds of sums are built in one call.
+    def mass(i: int) -> str:
+        own = f"w * exp(-0.5D * pow((g0 + {i}D * gstep - x) / bw, 2))"
+        return own if cells is None else own + f" + w_next * exp(-0.5D * pow((g0 + {i}D * gstep - x) / bw - {1 / cells!r}D, 2))"
+
+    sums = points.groupBy(by).agg(F.expr("array(" + ", ".join(f"sum({mass(i)})" for i in range(gridsize)) + ")").alias("sums"))
     norm = F.lit(1.0 / (2.0 * 3.141592653589793) ** 0.5)
-    return sums.select(by, "grid_i", "grid_x", (F.col("s") * norm / (F.col("n") * F.col("bw"))).alias("density"))
+    return sums.select(by, F.posexplode("sums").alias("grid_i", "s")).select(
+        by, "grid_i", (g0 + F.col("grid_i").cast("double") * gstep).alias("grid_x"), (F.col("s") * norm / (n * bw)).alias("density")
+    )
 
 
 def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:

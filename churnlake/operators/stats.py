@@ -18,6 +18,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
+from churnlake.session import written
+
 APPROX_ACCURACY = 100_000
 
 
@@ -122,13 +124,13 @@ def order_statistics(df, cols: Sequence[str], ranks_for, by: Sequence[str] = (),
     number of ranks. The counts decide alone: a rank that a sketch misses is sought
     again beside its bracket, so results do not depend on sketches.
 
-    Nothing is cached; the input is read once a pass. The driver holds one state per group: more than ``max_groups`` raise
+    The input is read once: its wanted columns are written in the session's shared folder, which the passes scan; nothing is cached. The driver holds one state per group: more than ``max_groups`` raise
     an error, and a pass collects at most about 256 x ``max_collect`` values. Infinite values are counted at either end.
 
     Returns (``{(group, col): {rank: value}}``, ``{(group, col): n}``).
     """
     by, grid, spark = list(by), max(bins, 64), df.sparkSession
-    rows = df.select(*by, *[F.col(c).cast("double").alias(f"__v{i}") for i, c in enumerate(cols)])
+    rows = written(df.select(*by, *[F.col(c).cast("double").alias(f"__v{i}") for i, c in enumerate(cols)]), "narrow")
     found = _first_sketch(rows, by, len(cols), grid).limit(max_groups + 1).collect()
     if len(found) > max_groups:
         raise ValueError(f"more than {max_groups} groups: raise max_groups or aggregate with percentile_approx")
@@ -178,7 +180,8 @@ def order_statistics(df, cols: Sequence[str], ranks_for, by: Sequence[str] = (),
 
 def _quantiles_of(x: Column, n: Column, grid: int) -> Column:
     """``grid`` + 1 evenly spaced quantiles of the non-null ``x`` by a sketch."""
-    shares = F.array(*[F.lit(k / grid) for k in range(grid + 1)])
+    # One foldable string: an array of literals a column would be thousands of plan nodes.
+    shares = F.split(F.lit(" ".join(str(k / grid) for k in range(grid + 1))), " ").cast("array<double>")
     return F.when(n > 0, F.kll_sketch_get_quantile_double(F.kll_sketch_agg_double(x, F.lit(SKETCH_K)), shares))
 
 

@@ -178,3 +178,21 @@ def test_running_sums_equal_a_plain_window(spark):
     assert I.running_sums(df, "v", ["a"], ranges=9).exceptAll(df.select("*", F.coalesce(F.sum("a").over(whole), F.lit(0)).alias("a_before"))).isEmpty()
     assert I.running_sums(df.where("v < 0"), "v", ["a"]).isEmpty()
     assert I.roc_auc(df.where("v < 0").withColumn("y", F.lit(1)), "y", "v").first().roc_auc is None
+
+
+def test_grouped_density_exact_and_binned(spark):
+    from churnlake.operators.profile import grouped_density
+
+    rng = np.random.default_rng(4)
+    pdf = pd.DataFrame({"g": rng.integers(0, 2, 4000), "x": rng.exponential(3, 4000)})
+    df = spark.createDataFrame(pdf).union(spark.createDataFrame([(9, 1.0), (0, None), (None, 2.0)], "g long, x double"))
+    exact, binned = (grouped_density(df, "x", "g", 50, cells=c).toPandas() for c in (None, 1024))
+    assert sorted(exact.g.unique()) == [0, 1] and len(exact) == len(binned) == 100  # one row has no deviation, hence no density
+    for g, part in pdf.groupby("g"):
+        x, n = part.x.to_numpy(), len(part)
+        h = x.std(ddof=1) * n ** -0.2
+        grid = np.linspace(x.min() - 3 * h, x.max() + 3 * h, 50)
+        want = np.exp(-0.5 * ((grid[:, None] - x) / h) ** 2).sum(axis=1) / (n * h * np.sqrt(2 * np.pi))
+        for got, off in ((exact, 1e-12), (binned, 1.2e-7 * 0.4 / h)):
+            mine = got[got.g == g].sort_values("grid_i")
+            assert np.allclose(mine.grid_x, grid, rtol=1e-12) and np.abs(mine.density.to_numpy() - want).max() <= off
