@@ -3,6 +3,7 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark import RDD, cloudpickle
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
@@ -183,3 +184,49 @@ def test_smoothings_share_one_matrix(spark):
         order = [names.index(c) if c in names else names.index("customer_id_te_0") for c in plain.feature_names]
         for r in plain.train.collect():
             assert np.allclose(wide[r.id][list(at)][order], r.features.toArray(), rtol=1e-12)
+
+
+def test_joint_columns_give_every_features_sums():
+    rng = np.random.default_rng(3)
+    starts = np.array([0, 2, 7, 60, 62, 63])
+    ids = np.stack([rng.integers(a, b, 900) for a, b in zip(starts, starts[1:])])
+    columns = B.Columns(starts, joint=40)
+    assert len(columns.groups) < 5 and max(columns.cells) <= 53
+    x, rows, slot = columns.pack(ids), np.flatnonzero(rng.random(900) < 0.6), None
+    slot, g = rng.integers(0, 3, len(rows)), rng.normal(size=len(rows))
+    got = columns.sums(x, rows, slot, 3, (g, g * g, None), range(len(columns.groups)))
+    for k in range(3):
+        for row, w in enumerate((g, g * g, np.ones(len(rows)))):
+            want = sum(np.bincount(ids[f, rows][slot == k], weights=w[slot == k], minlength=63) for f in range(5))
+            assert np.allclose(got[k, row], want)
+    for f, cut in ((1, 4), (2, 30), (3, 60)):
+        assert (columns.right(x, f, cut, rows) == (ids[f, rows] > cut)).all()
+
+
+def test_driver_gets_cuts_and_not_bin_sums(data, monkeypatch):
+    sent, collect = [], RDD.collect
+    monkeypatch.setattr(RDD, "collect", lambda self: [sent.append(len(cloudpickle.dumps(x))) or x for x in collect(self)])
+    B.fit(data, [B.Member(B.Setting(rounds=2, max_leaves=8), 0), B.Member(B.Setting(rounds=1, growth="symmetric", max_depth=3, min_leaf=1))], held_bytes=0)
+    assert sent and max(sent) < 24 * data.bins.count
+
+
+def test_held_leaf_wise_growth_sums_no_leaf_in_vain(data, frame):
+    waves, best = [], B._HeldRows.best
+
+    class Counted(B._HeldRows):
+        def best(self, work):
+            waves.append(sum(len(a.nodes) for a in work.values()))
+            return best(self, work)
+
+    row = [B._block(r, np.uint16, data.n_features, data.n_folds) for r in data.blocks.collect()]
+    ids, *rest = B._together(row)
+    columns = B.Columns(data.bins.starts)
+    e = B.Ensemble(B.Member(B.Setting(rounds=40, step=0.5, max_leaves=12, min_leaf=1)), 0.0)
+    B._boost({0: e}, data.bins, Counted((columns.pack(ids), *rest), data.bins, columns, {0: np.zeros(len(rest[0]))}))
+    assert sum(waves) <= 40 * (1 + 2 * 11)
+
+
+def test_own_fold_scores_alone(data, frame):
+    models = B.fit(data, [B.Member(B.Setting(rounds=4, step=0.3, max_leaves=5), f) for f in range(K)])
+    every, own = (B.with_margins(frame, data.bins, models, fold=c).select("id", "fold", "margins", B.own_fold("margins", "fold").alias("p")).toPandas().set_index("id").sort_index() for c in (None, "fold"))
+    assert np.allclose(every.p, own.p) and np.isnan(np.stack(own.margins)).sum(axis=1).tolist() == [K - 1] * len(own)
