@@ -230,3 +230,51 @@ def test_own_fold_scores_alone(data, frame):
     models = B.fit(data, [B.Member(B.Setting(rounds=4, step=0.3, max_leaves=5), f) for f in range(K)])
     every, own = (B.with_margins(frame, data.bins, models, fold=c).select("id", "fold", "margins", B.own_fold("margins", "fold").alias("p")).toPandas().set_index("id").sort_index() for c in (None, "fold"))
     assert np.allclose(every.p, own.p) and np.isnan(np.stack(own.margins)).sum(axis=1).tolist() == [K - 1] * len(own)
+
+
+def test_forest_of_drawn_rows_and_features_both_ways(data, rows, frame, monkeypatch):
+    x, y, fold = rows
+    members = B.random_forest(10, 5, min_leaf=4, fold=1)
+    held = B.fit(data, members)
+    monkeypatch.setattr(B, "DRIVER_BYTES", 3 * 32 * 24 * data.bins.count)  # three trees a lot
+    same(held, B.fit(data, members, held_bytes=0))
+    ids, keys = data.bins.ids(x).T, frame.select("id", F.xxhash64("id").alias("key")).toPandas().set_index("id").key.sort_index().to_numpy()
+    for e in held:
+        w = B._times(keys, B._salt(B.Ensemble(e.member, 0.0))) * (fold != 1)
+        assert 0.9 < w[fold != 1].mean() < 1.1 and w.max() > 2
+        leaf, base = B.walk(e.trees[0], ids), 1 / (1 + np.exp(-e.base))
+        for k in set(leaf.tolist()):
+            at = leaf == k
+            assert w[at].sum() >= 4 and base + e.trees[0].value[k] * base * (1 - base) == pytest.approx(np.average(y[at], weights=w[at]))
+        root = int(e.trees[0].feature[0])
+        best = {}
+        for f in range(5):
+            for cut in range(data.bins.starts[f], data.bins.starts[f + 1] - 1):
+                left = ids[f] <= cut
+                if min(w[left].sum(), w[~left].sum()) >= 4:
+                    best[f] = max(best.get(f, 0), sum((w * (y - base))[s].sum() ** 2 / w[s].sum() for s in (left, ~left)))
+        left = ids[root] <= e.trees[0].cut[0]
+        assert sum((w * (y - base))[s].sum() ** 2 / w[s].sum() for s in (left, ~left)) == pytest.approx(best[root])
+    got = B.forest_scored(frame.where("fold = 1"), data.bins, held, ["id", "label"]).toPandas()
+    assert got.p.between(0, 1).all() and got[got.label == 1].p.mean() > got[got.label == 0].p.mean() + 0.2
+
+
+def test_stumps_against_brute_force(data, rows, frame):
+    from churnlake.operators import models as H
+
+    x, y, _ = rows
+    ids, w = data.bins.ids(x).T, np.ones(len(y))
+    model = H.adaboost(frame, rounds=6, max_bins=32)
+    margin = np.zeros(len(y))
+    for s, alpha in zip(model.stumps, model.alphas):
+        said = np.where(ids[s.feature] > s.cut, s.high, s.low)
+        err = w[said != y].sum() / w.sum()
+        assert alpha == pytest.approx(np.log((1 - err) / err))
+        gini = lambda t: 2 * w[t & (y == 1)].sum() * w[t & (y == 0)].sum() / w[t].sum() if t.any() else 0.0
+        cuts = [(f, c) for f in range(5) for c in range(data.bins.starts[f], data.bins.starts[f + 1] - 1)]
+        decrease = [gini(ids[f] <= c) + gini(ids[f] > c) for f, c in cuts]
+        assert gini(ids[s.feature] <= s.cut) + gini(ids[s.feature] > s.cut) == pytest.approx(min(decrease))
+        w = w * np.exp(alpha * (said != y))
+        margin += alpha * (2 * said - 1)
+    got = model.transform_scores(frame, ["id"]).toPandas().set_index("id").p.sort_index().to_numpy()
+    assert np.allclose(got, 1 / (1 + np.exp(-2 * margin / sum(model.alphas))))
