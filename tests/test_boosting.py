@@ -278,3 +278,13 @@ def test_stumps_against_brute_force(data, rows, frame):
         margin += alpha * (2 * said - 1)
     got = model.transform_scores(frame, ["id"]).toPandas().set_index("id").p.sort_index().to_numpy()
     assert np.allclose(got, 1 / (1 + np.exp(-2 * margin / sum(model.alphas))))
+
+
+def test_driver_gets_the_cuts_of_a_level_and_not_the_trees_so_far(data, monkeypatch):
+    sent, collect = [], RDD.collect
+    monkeypatch.setattr(RDD, "collect", lambda self: [sent.append(len(cloudpickle.dumps(x))) or x for x in collect(self)])
+    for members in (B.random_cut_forest(6, 10), B.random_forest(6, 10)):
+        sent.clear()
+        found = B.fit(data, members, held_bytes=0)
+        nodes = sum(len(e.trees[0].feature) for e in found)
+        assert len(sent) > 30 and sum(sent) < 60 * nodes + 1500 * len(sent)
