@@ -80,3 +80,28 @@ def test_bounds_never_close_a_cell_that_holds_a_neighbour():
     for q, t in np.argwhere(dist <= limit[:, None]):
         assert opened[q, cell[t]]
     assert not opened.all()
+
+
+def test_cells_leave_out_most_pairs_of_points_with_categories(spark):
+    rng = np.random.default_rng(8)
+
+    def rows(n, start):
+        kinds = rng.integers(0, 2, (n, 8)) * 700.0
+        return [(start + i, float(i % 2), [float(v) for v in np.concatenate([np.round(rng.normal(0, 300, 3)), kinds[i]])]) for i in range(n)]
+
+    train, asked = rows(3000, 0), rows(60, 10_000)
+    got = N.nearest_neighbors(spark.createDataFrame(train, SCHEMA), spark.createDataFrame(asked, SCHEMA), 3)
+    assert _found(got) == _brute(train, asked, 3)
+    assert got.visited < 0.1
+
+
+def test_nearest_rows_far_from_the_origin_and_repeated():
+    rng = np.random.default_rng(9)
+    for shift, scale in ((3e9, 1.0), (0.0, 1e-9), (0.0, 1e160)):
+        points = np.round(rng.normal(size=(600, 3)) * 4) * scale + shift
+        asked, most = points[::9] + 0.5 * scale, np.where(np.arange(67) % 2, np.inf, 9.0 * scale * scale)
+        with np.errstate(over="ignore"):
+            d2 = N.squared_distances(asked, points)
+            q, row, found = N._nearest_rows(points, N.cut_cells(points, 20, 0.0)[1], asked, most, 5)
+        want = [(i, t, d2[i, t]) for i in range(len(asked)) for t in np.lexsort((np.arange(600), d2[i]))[:5] if d2[i, t] <= most[i]]
+        assert list(zip(q.tolist(), row.tolist(), found.tolist())) == want
