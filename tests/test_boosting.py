@@ -288,3 +288,37 @@ def test_driver_gets_the_cuts_of_a_level_and_not_the_trees_so_far(data, monkeypa
         found = B.fit(data, members, held_bytes=0)
         nodes = sum(len(e.trees[0].feature) for e in found)
         assert len(sent) > 30 and sum(sent) < 60 * nodes + 1500 * len(sent)
+
+
+def test_sums_of_many_rows_are_exact_whatever_their_order(monkeypatch):
+    rng = np.random.default_rng(5)
+    starts, n = np.array([0, 1, 40, 45]), 3 * B.SUM_ROWS + 7
+    ids = np.stack([rng.integers(a, b, n) for a, b in zip(starts, starts[1:])])
+    columns, rows, calls = B.Columns(starts), np.arange(n), []
+    x, (g, h) = columns.pack(ids), B._gradients(rng.integers(0, 2, n), np.where(rng.random(n) < 0.5, 0.0, rng.normal(size=n) * 9))
+    assert h.max() == 0.25 and (h / B.HESSIAN_UNIT == np.round(h / B.HESSIAN_UNIT)).all()
+    bincount = np.bincount
+    monkeypatch.setattr(np, "bincount", lambda *a, **k: calls.append(1) or bincount(*a, **k))
+    got, back = (columns.sums(x, r, None, 1, (g[r], h[r], None), range(len(columns.groups)))[0] for r in (rows, rows[::-1].copy()))
+    assert not calls  # gradients, hessians and rows are added in one pass
+    monkeypatch.undo()
+    for f in range(3):
+        at = slice(starts[f], starts[f + 1])
+        want = [np.bincount(ids[f] - starts[f], weights=w, minlength=starts[f + 1] - starts[f]) for w in (g, h, np.ones(n))]
+        assert np.allclose(got[0, at], want[0]) and (got[1:, at] == want[1:]).all() and (got[1:] == back[1:]).all()
+
+
+def test_rows_in_nodes_that_a_tree_does_not_keep_are_routed_again(data):
+    ids, *rest = B._together([B._block(r, np.uint16, data.n_features, data.n_folds) for r in data.blocks.collect()])
+    columns, found = B.Columns(data.bins.starts), []
+    for ahead in (1, 7):
+        class Rows(B._HeldRows):
+            pass
+
+        Rows.ahead = ahead
+        e = B.Ensemble(B.Member(B.Setting(rounds=6, step=0.5, max_leaves=9, min_leaf=3, rows=0.8), 1), 0.0)
+        held = Rows((columns.pack(ids), *rest), data.bins, columns, {0: np.zeros(len(rest[0]))})
+        B._boost({0: e}, data.bins, held)
+        assert np.allclose(held.margins[0], sum(t.value[B.walk(t, ids)] for t in e.trees))
+        found.append(e)
+    same(found[:1], found[1:])
