@@ -1,6 +1,7 @@
 """Model operators on a seeded synthetic frame with planted signal."""
 
 import pytest
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from churnlake.functions.grids import GRID_161
@@ -125,3 +126,12 @@ def test_search_shares_long_fits_and_scores_every_fold(matrix):
     best = S.best_candidate(scores)
     assert H.score(S.refit(data, tried[best]), va, ["id"]).count() == va.count()
     assert S.best_candidate([S.FoldScore(1, 0, 0.5, 1), S.FoldScore(0, 0, 0.5, 1)]) == 0
+
+
+def test_forests_keep_the_rows_nodes_and_grow_the_same_trees(spark):
+    rows = [(float(i % 2 if i % 7 else i % 3 == 0), Vectors.dense([i % 13, i % 5, (i * 7) % 11])) for i in range(400)]
+    frame = spark.createDataFrame(rows, ["label", "features"]).coalesce(2)
+    est = H.random_forest(8, 6)
+    assert est.getCacheNodeIds()
+    kept, walked = (e.fit(frame).toDebugString.split("\n", 1)[1] for e in (est, est.copy().setCacheNodeIds(False)))
+    assert kept == walked
