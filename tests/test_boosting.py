@@ -322,3 +322,13 @@ def test_rows_in_nodes_that_a_tree_does_not_keep_are_routed_again(data):
         assert np.allclose(held.margins[0], sum(t.value[B.walk(t, ids)] for t in e.trees))
         found.append(e)
     same(found[:1], found[1:])
+
+
+def test_spread_rows_carry_no_more_than_their_rounds_need(data, monkeypatch):
+    columns, seen, made = B.Columns(np.array([0, 2, 7, 300])), [], B._SpreadRows.__init__
+    x = columns.pack(np.array([[0, 1], [3, 6], [7, 299]]))
+    assert [c.dtype for c in x] == [np.uint8, np.uint16] and [len(c) for c in x] == [2, 2]
+    monkeypatch.setattr(B._SpreadRows, "__init__", lambda self, rows, *a: seen.append(rows.map(lambda b: len(b[3]) / len(b[1])).collect()) or made(self, rows, *a))
+    for share in (1.0, 0.5):
+        B.fit(data, [B.Member(B.Setting(rounds=1, max_leaves=3, rows=share), 0)], held_bytes=0)
+    assert set(seen[0]) == {0.0} and set(seen[1]) == {1.0}  # keys are kept where rows are drawn by them
